@@ -61,7 +61,7 @@ class LoadReport:
 
 def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: str = "raise") -> DataFrame:
     """Parse one feed and write it once as Parquet, good and reject rows
-    side by side (``valid=true`` / ``valid=false``); returns the good rows.
+    side by side (``status=good`` / ``status=reject``); returns the good rows.
 
     on_error='raise' fails the job at the first bad line instead.
     """
@@ -72,13 +72,22 @@ def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: s
             F.lit("bad line ["), F.array_join(REJECT_COL, ","), F.lit("]: "), F.col("line"))))
         parsed = parsed.filter(fail.isNull())
     staged = parsed.select(*spec.column_names, F.when(bad, F.col("line")).alias("line"),
-                           REJECT_COL, "source_file", (~bad).alias("valid"))
-    staged.write.mode("errorifexists").partitionBy("valid").parquet(out)
-    return spark.read.parquet(out).filter(F.col("valid")).select(*spec.column_names)
+                           REJECT_COL, "source_file",
+                           F.when(bad, F.lit("reject")).otherwise(F.lit("good")).alias("status"))
+    staged.write.mode("errorifexists").partitionBy("status").parquet(out)
+    return good_rows(spark, out).select(*spec.column_names)
+
+
+def good_rows(spark: SparkSession, staged: str) -> DataFrame:
+    return spark.read.parquet(staged).filter(F.col("status") == "good")
+
+
+def reject_rows(spark: SparkSession, staged: str) -> DataFrame:
+    return spark.read.parquet(staged).filter(F.col("status") == "reject")
 
 
 def _rejects(spark: SparkSession, out: str) -> int:
-    return spark.read.parquet(out).filter(~F.col("valid")).count()
+    return reject_rows(spark, out).count()
 
 
 def _duplicates(df: DataFrame) -> int:
@@ -97,7 +106,7 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
                      rebuilt from hourly after it is published.
     on_error='raise': bad lines or duplicate keys in a feed stop the load
                      before anything is published.
-    on_error='reject': bad lines are kept in the staged ``valid=false`` rows,
+    on_error='reject': bad lines are kept in the staged ``status=reject`` rows,
                      duplicates resolved first-wins; both are counted.
     """
     if mode not in ("ignore", "recompute"):
@@ -153,6 +162,6 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
 
 def audit(spark: SparkSession, work: str) -> DataFrame:
     """Matched / unmatched key counts of a staged run (what the join dropped)."""
-    c = spark.read.parquet(f"{work}/counter").filter(F.col("valid"))
-    q = spark.read.parquet(f"{work}/qual").filter(F.col("valid"))
+    c = good_rows(spark, f"{work}/counter")
+    q = good_rows(spark, f"{work}/qual")
     return feed_join_audit(c, q)
