@@ -28,7 +28,8 @@ def field(fields, i: int) -> Column:
 
 def strip_cr(line) -> Column:
     """Drop one trailing carriage return (CRLF files read with '\\n')."""
-    return F.regexp_replace(_col(line), "\r$", "")
+    c = _col(line)
+    return F.when(c.endswith("\r"), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
 
 
 def reshape_line(line, sep: str = ",", out_sep: str = ",", left: int = 4, right: int = 5) -> Column:

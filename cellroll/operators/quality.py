@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import HOURLY_UNIQUE, KEY_COL
-from ..sources.feed import REJECT_COL
+from ..sources.feed import REJECT_COL, is_bad
 
 
 def duplicate_keys(df: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
@@ -24,8 +24,8 @@ def duplicate_keys(df: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
 
 def reject_counts(parsed: DataFrame) -> DataFrame:
     """(check, n_rows) for every row-level reason found by the parser."""
-    return (parsed.filter(F.size(REJECT_COL) > 0)
-            .select(F.explode(REJECT_COL).alias("check"))
+    return (parsed.filter(is_bad())
+            .select(F.explode(F.split(REJECT_COL, ",")).alias("check"))
             .groupBy("check").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -33,10 +33,10 @@ def quality_report(parsed: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
     """(check, n_rows): row-level reasons, plus ``duplicate_key`` = rows of the
     good part whose key occurs more than once, plus ``rows`` and ``good``."""
     keys = list(keys)
-    good = parsed.filter(F.size(REJECT_COL) == 0)
+    good = parsed.filter(~is_bad())
     totals = parsed.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.size(REJECT_COL) == 0, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("good"),
+        F.coalesce(F.sum(F.when(is_bad(), 0).otherwise(1)), F.lit(0)).cast("bigint").alias("good"),
     )
     totals = totals.select(F.expr("stack(2, 'rows', rows, 'good', good) as (check, n_rows)"))
     dup = duplicate_keys(good, keys).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"))

@@ -30,7 +30,7 @@ from ..operators.rollup import daily_rollup, daily_rows
 from ..schema import DAILY_UNIQUE, DIM_COLS, HOURLY_KEYS, HOURLY_UNIQUE, KEY_COL, TIME_COL, FeedSpec
 from ..session import delete_path, scratch_path, tune_wide
 from ..sinks.tables import overwrite_partitions, read_table, restrict_to, touched_dates
-from ..sources.feed import REJECT_COL, parse_lines
+from ..sources.feed import REJECT_COL, is_bad, observe_totals, parse_lines
 from ..sources.lines import read_lines
 
 def hourly_order():
@@ -66,10 +66,11 @@ def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: s
     on_error='raise' fails the job at the first bad line instead.
     """
     parsed = parse_lines(read_lines(spark, paths, header=spec.header, line_sep=spec.line_sep), spec)
-    bad = F.size(REJECT_COL) > 0
+    parsed, _ = observe_totals(parsed)
+    bad = is_bad()
     if on_error == "raise":
         fail = F.when(bad, F.raise_error(F.concat(
-            F.lit("bad line ["), F.array_join(REJECT_COL, ","), F.lit("]: "), F.col("line"))))
+            F.lit("bad line ["), F.col(REJECT_COL), F.lit("]: "), F.col("line"))))
         parsed = parsed.filter(fail.isNull())
     staged = parsed.select(*spec.column_names, F.when(bad, F.col("line")).alias("line"),
                            REJECT_COL, "source_file",

@@ -174,7 +174,7 @@ def q_cast_reject(spark, sf):
     rej = load_feed(spark, path, _lineitem_spec(spark, sf), on_error="reject").rejects
     f = split_fields("line", ",")
     return rej.select(field(f, 0).cast("bigint").alias("l_orderkey"), field(f, 3).cast("int").alias("l_linenumber"),
-                      F.array_join("reject_reasons", ",").alias("reason"))
+                      F.col("reject_reasons").alias("reason"))
 
 
 # ---------------------------------------------------------------- quality

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import apply_null_marker, reasons, typed_value
@@ -26,13 +26,16 @@ LINE_COL = "line"
 class Feed(NamedTuple):
     rows: DataFrame
     rejects: DataFrame
+    totals: Observation  # n_lines, n_rejects of the first action over the feed
 
 
 def parse_lines(lines: DataFrame, spec: FeedSpec, line_col: str = "value") -> DataFrame:
     """DataFrame of lines -> target columns + ``reject_reasons`` + ``line``.
 
-    ``reject_reasons`` is an empty array for a good row.  A line with the
-    wrong number of fields gets the single reason ``arity``.
+    ``reject_reasons`` is a comma-separated list of failed checks, empty for
+    a good row (``concat_ws`` skips the NULLs of passed checks and stays in
+    generated code).  A line with the wrong number of fields gets the single
+    reason ``arity``.
     """
     fields = spec.file_fields
     pos = {n: i for i, n in enumerate(fields)}
@@ -73,10 +76,25 @@ def parse_lines(lines: DataFrame, spec: FeedSpec, line_col: str = "value") -> Da
         r = F.col(f"_raw_{i}") if has_raw else F.lit(None).cast("string")
         checks += reasons(name, r, F.col(name), type_name, name in not_null)
     arity_bad = F.col("_n") != F.lit(len(fields))
-    reason_arr = F.when(arity_bad, F.array(F.lit("arity"))).otherwise(
-        F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    )
-    return typed.select(*keep, *spec.column_names, reason_arr.alias(REJECT_COL), LINE_COL)
+    reason = F.when(arity_bad, F.lit("arity")).otherwise(F.concat_ws(",", *checks) if checks else F.lit(""))
+    return typed.select(*keep, *spec.column_names, reason.alias(REJECT_COL), LINE_COL)
+
+
+def is_bad(reasons=REJECT_COL) -> Column:
+    return F.col(reasons) != F.lit("")
+
+
+def observe_totals(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count lines and rejects while the feed is read (load totals).
+
+    The observation node also keeps later filters on the reject column from
+    being pushed below the parse, where they would repeat the split of the
+    line once per field.
+    """
+    obs = Observation()
+    out = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"),
+                         F.coalesce(F.sum(F.when(is_bad(), 1).otherwise(0)), F.lit(0)).alias("n_rejects"))
+    return out, obs
 
 
 def split_rejects(parsed: DataFrame, spec: FeedSpec, on_error: str = "raise") -> Feed:
@@ -84,22 +102,23 @@ def split_rejects(parsed: DataFrame, spec: FeedSpec, on_error: str = "raise") ->
 
     on_error='raise': a bad line fails the job (with the line in the
     message) when the rows are computed; nothing is silently dropped.
-    on_error='reject': bad lines go to ``rejects`` (line, reasons, source).
+    on_error='reject': bad lines go to ``rejects`` (line, reasons, source_file).
     """
     if on_error not in ("raise", "reject"):
         raise ValueError("on_error must be 'raise' or 'reject'")
-    bad = F.size(REJECT_COL) > 0
+    parsed, obs = observe_totals(parsed)
+    bad = is_bad()
     extra = [c for c in parsed.columns if c not in (*spec.column_names, REJECT_COL, LINE_COL)]
     rejects = parsed.filter(bad).select(*extra, LINE_COL, REJECT_COL)
     if on_error == "raise":
         fail = F.when(
             bad,
-            F.raise_error(F.concat(F.lit("bad line ["), F.array_join(REJECT_COL, ","), F.lit("]: "), F.col(LINE_COL))),
+            F.raise_error(F.concat(F.lit("bad line ["), F.col(REJECT_COL), F.lit("]: "), F.col(LINE_COL))),
         )
         rows = parsed.filter(fail.isNull())
     else:
         rows = parsed.filter(~bad)
-    return Feed(rows.select(*spec.column_names), rejects)
+    return Feed(rows.select(*spec.column_names), rejects, obs)
 
 
 def load_feed(spark: SparkSession, paths, spec: FeedSpec, *, on_error: str = "raise") -> Feed:
