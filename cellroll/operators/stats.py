@@ -22,7 +22,7 @@ def load_totals(lines: DataFrame, spec, line_col: str = "value") -> DataFrame:
     )
 
 
-def observe_totals(lines: DataFrame, spec, name: str = "load", line_col: str = "value"):
+def observe_line_totals(lines: DataFrame, spec, name: str = "load", line_col: str = "value"):
     """Count lines and fields while another action runs over ``lines``.
 
     Returns (lines_with_observer, Observation); read ``obs.get`` after the action.

@@ -136,6 +136,7 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
     joined.write.mode("errorifexists").parquet(f"{work}/load")
     load = spark.read.parquet(f"{work}/load")
+    rep.joined = load.count()
     metrics = [c for c in load.columns if c not in set(HOURLY_KEYS)]
 
     hourly_new = load.withColumn("date", day_of(TIME_COL))

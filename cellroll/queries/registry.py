@@ -25,6 +25,7 @@ from ..schema import (COUNTER_FAMILIES, DAILY_UNIQUE, HOURLY_KEYS, KEY_COL, QUAL
 from ..session import scratch_path, tune_wide
 from ..sources.feed import load_feed, parse_lines
 from ..sources.lines import read_lines
+from ..streaming.incremental import run_incremental, write_manifest
 from . import feeds as fx
 
 LINEITEM_ORDER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -354,6 +355,18 @@ def q_daily_late_recompute(spark, sf):
     return _daily(spark, daily)
 
 
+def q_incremental_daily(spark, sf):
+    """The two half-day loads of ``daily_late_ignore``, driven by a manifest stream."""
+    hourly, daily = _targets(spark)
+    manifests = scratch_path(spark, "manifests")
+    for part in (0, 1):
+        pair = (fx.export_feed(spark, sf, "counter", part), fx.export_feed(spark, sf, "qual", part))
+        write_manifest(spark, manifests, [pair], part)
+    run_incremental(spark, manifests, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
+                    hourly_path=hourly, daily_path=daily)
+    return _daily(spark, daily)
+
+
 QUERIES = {
     "load_lines_comma": q_load_lines_comma,
     "load_lines_tab": q_load_lines_tab,
@@ -387,6 +400,7 @@ QUERIES = {
     "replay_idempotent": q_replay_idempotent,
     "daily_late_ignore": q_daily_late_ignore,
     "daily_late_recompute": q_daily_late_recompute,
+    "incremental_daily": q_incremental_daily,
 }
 
 
@@ -511,4 +525,5 @@ ORACLES = {
     "replay_idempotent": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "daily_late_ignore": _late_ignore_sql(),
     "daily_late_recompute": _late_recompute_sql(),
+    "incremental_daily": _late_ignore_sql(),
 }

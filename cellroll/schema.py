@@ -13,7 +13,7 @@ full-width feeds, ``family_metric_names`` builds names from family sizes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -177,13 +177,3 @@ def metrics_of(df: DataFrame, keys=HOURLY_KEYS) -> list[str]:
 def family_metric_names(families, prefix: str = "") -> list[str]:
     """Generate metric names ``<prefix><family><nnn>`` from family sizes."""
     return [f"{prefix}{fam}{i:03d}" for fam, n in families for i in range(n)]
-
-
-@dataclass
-class LoadPaths:
-    """Output locations of one full load."""
-
-    hourly: str
-    daily: str
-    work: str
-    extra: dict = field(default_factory=dict)
