@@ -10,8 +10,11 @@ Scale notes:
   into a partial WindowGroupLimit before the shuffle, so a key that holds a
   third of the rows sends one row per map task, not the whole group.
 * ``insert_ignore_into`` reads only the key columns of the target, and only
-  the dates the load touches (literal list -> PartitionFilters), so the
-  anti-join shuffles the load plus a few days of keys, not the history.
+  the dates the load touches (literal list -> PartitionFilters).  It first
+  finds the keys of the load that already exist (a join of key columns only),
+  and touches the wide rows only as far as needed: no clash -> plain append;
+  a clash of at most ``BROADCAST_KEYS`` keys -> anti-join against those keys
+  broadcast; more -> shuffle anti-join.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 
 from ..sinks.tables import PARTITION_COL, append_partitioned, read_table, restrict_to, touched_dates
 
+# Most clashing keys sent to every task as a broadcast (about 16 bytes each).
+BROADCAST_KEYS = 2_000_000
+
 
 def _order_cols(df: DataFrame, keys, order_by) -> list[Column]:
     if order_by is None:
@@ -54,23 +60,43 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
     return target.unionByName(added.select(*target.columns))
 
 
+def drop_existing(new: DataFrame, existing_keys: DataFrame, keys, broadcast_keys: int = BROADCAST_KEYS):
+    """``new_only`` for wide rows: decide on the key columns, then touch the rows.
+
+    Returns (rows, n_clashing_keys).
+    """
+    keys = list(keys)
+    clash = new.select(*keys).join(existing_keys.select(*keys), keys, "left_semi").distinct()
+    n = clash.count()
+    if n == 0:
+        return new, 0
+    if n <= broadcast_keys:
+        return new.join(F.broadcast(clash), keys, "left_anti"), n
+    return new.join(existing_keys.select(*keys), keys, "left_anti"), n
+
+
 def insert_ignore_into(spark: SparkSession, new: DataFrame, path: str, keys, *, order_by=None,
-                       order_within=None, partition_col: str = PARTITION_COL, dedup: bool = True) -> dict:
+                       order_within=None, partition_col: str = PARTITION_COL, dedup: bool = True,
+                       dates=None) -> dict:
     """Append the absent rows of ``new`` to the date-partitioned table at ``path``.
 
     ``new`` must carry ``partition_col``.  ``dedup=False`` skips the
     first-wins pass when the keys of ``new`` are already known to be unique.
-    Returns counts observed during the write (rows appended).  Safe to
+    ``dates``: the dates ``new`` covers, when the caller knows them cheaply
+    (else they are computed from ``new``).  Returns the rows appended
+    (observed during the write) and the keys that already existed.  Safe to
     repeat: a second run appends nothing.
     """
     keys = list(keys)
     cand = first_wins(new, keys, order_by) if dedup else new
     target = read_table(spark, path)
+    clashing = 0
     if target is not None:
-        dates = touched_dates(new, partition_col)
+        if dates is None:
+            dates = touched_dates(new, partition_col)
         existing = restrict_to(target, dates, partition_col)
-        cand = new_only(cand, existing, keys)
+        cand, clashing = drop_existing(cand, existing, keys)
     obs = Observation("insert_ignore")
     cand = cand.observe(obs, F.count(F.lit(1)).alias("appended"))
     append_partitioned(cand, path, order_within, partition_col)
-    return dict(obs.get)
+    return {**dict(obs.get), "existing_keys": clashing}

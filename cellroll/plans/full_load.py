@@ -140,19 +140,20 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     metrics = [c for c in load.columns if c not in set(HOURLY_KEYS)]
 
     hourly_new = load.withColumn("date", day_of(TIME_COL))
+    # the dates of the load, read once from the narrow time column
+    dates = touched_dates(hourly_new)
     # Within one load the keys are unique (checked or resolved above), so no
     # first-wins pass is needed before the anti-join.
     got = insert_ignore_into(spark, hourly_new, hourly_path, HOURLY_UNIQUE, dedup=False,
-                             order_within=hourly_order())
+                             order_within=hourly_order(), dates=dates)
     rep.hourly_appended = int(got.get("appended", 0))
 
     if mode == "ignore":
         daily_new = daily_rollup(load, metrics)
         got = insert_ignore_into(spark, daily_new, daily_path, DAILY_UNIQUE, order_by=list(DIM_COLS),
-                                 order_within=daily_order())
+                                 order_within=daily_order(), dates=dates)
         rep.daily_appended = int(got.get("appended", 0))
     else:
-        dates = touched_dates(hourly_new)
         hourly = read_table(spark, hourly_path)
         rows = daily_rows(restrict_to(hourly, dates).drop("date"), metrics)
         overwrite_partitions(rows, daily_path, daily_order())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import cell_key, cell_key_text
 from ..functions.text import field, reshape_line, split_fields
 from ..functions.time import day_of, time_bucket
-from ..operators.combine import feed_join, feed_join_audit
+from ..operators.combine import feed_join, feed_join_audit, unmatched_keys
 from ..operators.publish import first_wins, insert_ignore
 from ..operators.quality import cell_key_collisions, duplicate_keys, quality_report
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
@@ -23,6 +23,7 @@ from ..plans.full_load import run_load
 from ..schema import (COUNTER_FAMILIES, DAILY_UNIQUE, HOURLY_KEYS, KEY_COL, QUAL_FAMILIES, TIME_COL,
                       cell_feed_spec, family_metric_names, table_spec)
 from ..session import scratch_path, tune_wide
+from ..sinks.tables import write_staging
 from ..sources.feed import load_feed, parse_lines
 from ..sources.lines import read_lines
 from ..streaming.incremental import run_incremental, write_manifest
@@ -92,8 +93,8 @@ def q_load_replace(spark, sf):
     first = _lineitem_export(spark, sf, "lineitem-before", where=F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz"))
     second = _lineitem_export(spark, sf, "lineitem-after", where=F.col("l_shipdate") >= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
     staging = scratch_path(spark, "staging", "lineitem")
-    load_feed(spark, first, spec).rows.write.mode("overwrite").parquet(staging)
-    load_feed(spark, second, spec).rows.write.mode("overwrite").parquet(staging)
+    write_staging(load_feed(spark, first, spec).rows, staging, truncate=True)
+    write_staging(load_feed(spark, second, spec).rows, staging, truncate=True)
     return spark.read.parquet(staging)
 
 
@@ -227,6 +228,11 @@ def q_feed_join_audit(spark, sf):
     return feed_join_audit(c, q)
 
 
+def q_feed_unmatched(spark, sf):
+    c, q = _feeds(spark, sf)
+    return unmatched_keys(c, q)
+
+
 def q_time_bucket_day(spark, sf):
     ev = fx.table(spark, sf, "events")
     return ev.select("event_id", "ts", day_of("ts").alias("date"))
@@ -385,6 +391,7 @@ QUERIES = {
     "duplicate_keys": q_duplicate_keys,
     "feed_join": q_feed_join,
     "feed_join_audit": q_feed_join_audit,
+    "feed_unmatched": q_feed_unmatched,
     "time_bucket_day": q_time_bucket_day,
     "time_bucket_hour": q_time_bucket_hour,
     "time_bucket_week": q_time_bucket_week,
@@ -504,6 +511,11 @@ ORACLES = {
                         f"CAST(count(*) FILTER (WHERE c.unique_id IS NULL) AS BIGINT) AS qual_only "
                         f"FROM {fx.sql_counter()} c FULL OUTER JOIN {fx.sql_qual()} q "
                         f"ON c.unique_id = q.unique_id AND c.resulttime = q.resulttime"),
+    "feed_unmatched": (f"WITH c AS {fx.sql_counter()}, q AS {fx.sql_qual()} "
+                       "SELECT resulttime, unique_id, 'counter' AS feed FROM c WHERE NOT EXISTS "
+                       "(SELECT 1 FROM q WHERE q.unique_id = c.unique_id AND q.resulttime = c.resulttime) "
+                       "UNION ALL SELECT resulttime, unique_id, 'qual' AS feed FROM q WHERE NOT EXISTS "
+                       "(SELECT 1 FROM c WHERE q.unique_id = c.unique_id AND q.resulttime = c.resulttime)"),
     "time_bucket_day": "SELECT event_id, ts, CAST(time_bucket(INTERVAL '1 day', ts) AS DATE) AS date FROM events",
     "time_bucket_hour": ("SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, event_type, count(*) AS n_events, "
                          "round(sum(value), 2) AS total FROM events GROUP BY ALL"),

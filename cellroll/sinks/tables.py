@@ -73,3 +73,21 @@ def overwrite_partitions(df: DataFrame, path: str, order_within=None, col: str =
     out = df.sortWithinPartitions(col, *(order_within or ()))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
+
+
+def write_staging(df: DataFrame, path: str, truncate: bool = True) -> None:
+    """Write a loaded feed to a staging table; ``truncate`` replaces what was there.
+
+    Never point ``path`` at a table the plan of ``df`` reads: an overwrite
+    deletes the old files before the new ones are complete.
+    """
+    df.write.mode("overwrite" if truncate else "append").parquet(path)
+
+
+def read_recent(spark: SparkSession, path: str, since, col: str = PARTITION_COL) -> DataFrame:
+    """Rows of a date-partitioned table from ``since`` (a date) on.
+
+    The literal bound reaches PartitionFilters, so older date folders are not
+    listed or read.
+    """
+    return spark.read.parquet(path).filter(F.col(col) >= F.lit(since))

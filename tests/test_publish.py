@@ -54,3 +54,32 @@ def test_anti_join_reads_only_touched_dates(spark, tmp_dir):
     target = spark.read.parquet(f"{tmp_dir}/t")
     plan = _plan(restrict_to(target, [d1]).select("k"))
     assert "PartitionFilters: [isnotnull(date" in plan and "2018-08-01" in plan
+
+
+def test_drop_existing_decides_on_keys(spark):
+    from cellroll.operators.publish import drop_existing
+
+    new = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0)], "k int, v double")
+    none = spark.createDataFrame([(9,)], "k int")
+    rows, n = drop_existing(new, none, ["k"])
+    assert n == 0 and rows.count() == 3
+    some = spark.createDataFrame([(2,), (3,), (3,)], "k int")
+    rows, n = drop_existing(new, some, ["k"])
+    assert n == 2 and [r.k for r in rows.collect()] == [1]
+    assert "BroadcastHashJoin" in _plan(rows) or "BroadcastNestedLoopJoin" not in _plan(rows)
+    rows, n = drop_existing(new, some, ["k"], broadcast_keys=1)
+    assert n == 2 and [r.k for r in rows.collect()] == [1]
+
+
+def test_read_recent_prunes_dates(spark, tmp_dir):
+    from cellroll.sinks.tables import read_recent, write_staging
+
+    d1, d2 = dt.date(2018, 8, 1), dt.date(2018, 8, 2)
+    df = spark.createDataFrame([(d1, 1), (d2, 2)], "date date, k int")
+    df.write.partitionBy("date").parquet(f"{tmp_dir}/h")
+    recent = read_recent(spark, f"{tmp_dir}/h", d2)
+    assert [r.k for r in recent.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(date" in _plan(recent)
+    write_staging(df, f"{tmp_dir}/s")
+    write_staging(df.limit(1), f"{tmp_dir}/s", truncate=True)
+    assert spark.read.parquet(f"{tmp_dir}/s").count() == 1
