@@ -15,8 +15,9 @@ def feed_join(counter: DataFrame, qual: DataFrame, keys=HOURLY_UNIQUE, qual_metr
 
     Both sides are large, so this is a shuffle join on the two keys; AQE
     turns it into a broadcast join only when a side is measured small at
-    run time.  Keys are unique per feed (checked before), so the join is at
-    most 1:1 and has no hot key.
+    run time.  Keys must be unique per feed (``run_load`` checks this, or
+    resolves duplicates first-wins, before joining), so the join is at most
+    1:1 and has no hot key.
     """
     keys = list(keys)
     qual_metrics = list(qual_metrics) if qual_metrics is not None else metrics_of(qual, HOURLY_KEYS)
@@ -30,12 +31,12 @@ def feed_join(counter: DataFrame, qual: DataFrame, keys=HOURLY_UNIQUE, qual_metr
 def feed_join_audit(counter: DataFrame, qual: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
     """One row: keys matched, keys only in the counter feed, only in the quality feed.
 
-    One full outer join of the key columns only (column pruning keeps the
-    shuffle at key width).
+    Distinct keys of each side (partial aggregation, so a repeated key costs
+    one row per task), then one full outer join of key columns only.
     """
     keys = list(keys)
-    a = counter.select(*keys, F.lit(True).alias("_a"))
-    b = qual.select(*keys, F.lit(True).alias("_b"))
+    a = counter.select(*keys).distinct().withColumn("_a", F.lit(True))
+    b = qual.select(*keys).distinct().withColumn("_b", F.lit(True))
     j = a.join(b, keys, "full_outer")
     n = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
     return j.agg(
@@ -46,8 +47,10 @@ def feed_join_audit(counter: DataFrame, qual: DataFrame, keys=HOURLY_UNIQUE) ->
 
 
 def unmatched_keys(counter: DataFrame, qual: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
-    """The keys dropped by ``feed_join``, with the feed they came from."""
+    """The distinct keys dropped by ``feed_join``, with the feed they came from."""
     keys = list(keys)
-    a = counter.select(*keys).join(qual.select(*keys), keys, "left_anti").withColumn("feed", F.lit("counter"))
-    b = qual.select(*keys).join(counter.select(*keys), keys, "left_anti").withColumn("feed", F.lit("qual"))
+    ck = counter.select(*keys).distinct()
+    qk = qual.select(*keys).distinct()
+    a = ck.join(qk, keys, "left_anti").withColumn("feed", F.lit("counter"))
+    b = qk.join(ck, keys, "left_anti").withColumn("feed", F.lit("qual"))
     return a.unionByName(b)

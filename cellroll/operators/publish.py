@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from ..sinks.tables import PARTITION_COL, append_partitioned, read_table, restrict_to, touched_dates
 
-# Most clashing keys sent to every task as a broadcast (about 16 bytes each).
-BROADCAST_KEYS = 2_000_000
+# Most clashing keys sent to every executor as a broadcast: two key columns
+# (timestamp + int, or date + int) take about 40 bytes per key in the hash
+# relation, so the bound keeps the broadcast near 40 MB.
+BROADCAST_KEYS = 1_000_000
 
 
 def _order_cols(df: DataFrame, keys, order_by) -> list[Column]:
