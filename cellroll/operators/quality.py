@@ -31,17 +31,29 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
 
 def quality_report(parsed: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
     """(check, n_rows): row-level reasons, plus ``duplicate_key`` = rows of the
-    good part whose key occurs more than once, plus ``rows`` and ``good``."""
+    good part whose key occurs more than once, plus ``rows`` and ``good``.
+
+    One scan: the parsed lines are counted per (key, reasons) once, and the
+    three parts of the report read that small result (the exchange is
+    reused, so the text is read and split once).
+    """
     keys = list(keys)
-    good = parsed.filter(~is_bad())
-    totals = parsed.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.when(is_bad(), 0).otherwise(1)), F.lit(0)).cast("bigint").alias("good"),
-    )
-    totals = totals.select(F.expr("stack(2, 'rows', rows, 'good', good) as (check, n_rows)"))
-    dup = duplicate_keys(good, keys).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"))
-    dup = dup.select(F.lit("duplicate_key").alias("check"), "n_rows")
-    return totals.unionByName(reject_counts(parsed)).unionByName(dup)
+    # "good" is an aggregate output, not a grouping column, so the filters
+    # below stay above the shared exchange instead of being pushed under it
+    base = parsed.groupBy(*keys, REJECT_COL).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col(REJECT_COL) == F.lit("")).alias("_good"))
+    good = F.col("_good")
+    totals = base.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum(F.when(good, F.col("_n")).otherwise(0)), F.lit(0)).cast("bigint").alias("good"),
+    ).select(F.expr("stack(2, 'rows', rows, 'good', good) as (check, n_rows)"))
+    reasons = (base.filter(~good)
+               .select(F.explode(F.split(REJECT_COL, ",")).alias("check"), "_n")
+               .groupBy("check").agg(F.sum("_n").cast("bigint").alias("n_rows")))
+    dup = (base.filter(good & (F.col("_n") > 1))
+           .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"))
+           .select(F.lit("duplicate_key").alias("check"), "n_rows"))
+    return totals.unionByName(reasons).unionByName(dup)
 
 
 def cell_key_collisions(df: DataFrame, key: str = KEY_COL, parts=("lac", "ci")) -> DataFrame:

@@ -8,7 +8,6 @@ are not whole numbers are rounded to 2 places on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import cell_key, cell_key_text
@@ -20,7 +19,7 @@ from ..operators.quality import cell_key_collisions, duplicate_keys, quality_rep
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
 from ..operators.stats import load_totals
 from ..plans.full_load import run_load
-from ..schema import (COUNTER_FAMILIES, DAILY_UNIQUE, HOURLY_KEYS, KEY_COL, QUAL_FAMILIES, TIME_COL,
+from ..schema import (COUNTER_FAMILIES, HOURLY_KEYS, KEY_COL, QUAL_FAMILIES, TIME_COL,
                       cell_feed_spec, family_metric_names, table_spec)
 from ..session import scratch_path, tune_wide
 from ..sinks.tables import write_staging
