@@ -1,9 +1,16 @@
 """Roll-ups of wide metric rows.
 
-All metric sums are built in one ``agg`` call (never chained
-``withColumn``), so a 379-metric roll-up is one partial + one final hash
-aggregate; map-side partial aggregation keeps a hot cell to one row per
-task and day before the shuffle.
+Sums are built in ``agg`` calls (never chained ``withColumn``): partial +
+final hash aggregation, so map-side partial aggregation keeps a hot cell to
+one row per task and day before the shuffle.
+
+A hash aggregate slows down per value as it carries more sums (measured on
+600,000 rows, local[8]: 100 sums 4 s, 200 sums 12 s, 379 sums 29-31 s).
+Wider roll-ups are therefore done in passes of at most ``SUMS_PER_PASS``
+metrics over the same input, joined back on the group keys (379 sums in
+passes of 96: 8-11 s).  From columnar input each pass reads only its own
+metric columns plus the keys, and every pass is hash partitioned on the
+same keys, so the joins add no exchange when the keys are known non-NULL.
 """
 
 from __future__ import annotations
@@ -16,9 +23,36 @@ from ..schema import DAILY_KEYS, DAILY_UNIQUE, DIM_COLS, HOURLY_KEYS, KEY_COL, T
 from .publish import first_wins
 
 
-def sum_metrics(df: DataFrame, dims, metrics) -> DataFrame:
-    """GROUP BY ``dims``; SUM of every metric (NULLs ignored, all-NULL -> NULL)."""
-    return df.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in metrics])
+SUMS_PER_PASS = 96
+
+
+def sum_metrics(df: DataFrame, dims, metrics, *, per_pass: int | None = SUMS_PER_PASS,
+                keys_not_null: bool = False) -> DataFrame:
+    """GROUP BY ``dims``; SUM of every metric (NULLs ignored, all-NULL -> NULL).
+
+    More than ``per_pass`` metrics: one aggregate per slice of metrics, then
+    the slices joined on ``dims`` (one row per group on every side, so 1:1).
+    ``keys_not_null=True`` (validated key columns) joins on plain equality,
+    reusing the aggregates' partitioning; otherwise the join is NULL-safe so
+    that a group with a NULL key is kept.
+    """
+    dims, metrics = list(dims), list(metrics)
+    if not per_pass or len(metrics) <= per_pass:
+        return df.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in metrics])
+    out = None
+    for i in range(0, len(metrics), per_pass):
+        part = metrics[i:i + per_pass]
+        agg = df.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in part])
+        if out is None:
+            out = agg
+        elif keys_not_null:
+            out = out.join(agg, dims, "inner")
+        else:
+            tmp = [f"_k{i}_{j}" for j in range(len(dims))]
+            agg = agg.select(*[F.col(d).alias(t) for d, t in zip(dims, tmp)], *part)
+            cond = [F.col(d).eqNullSafe(F.col(t)) for d, t in zip(dims, tmp)]
+            out = out.join(agg, cond, "inner").drop(*tmp)
+    return out.select(*dims, *metrics)
 
 
 def with_day(hourly: DataFrame, metrics=None) -> DataFrame:
@@ -34,7 +68,8 @@ def daily_rollup(hourly: DataFrame, metrics=None) -> DataFrame:
     gives two rows with one (date, unique_id); ``daily_rows`` keeps one.
     """
     metrics = metrics if metrics is not None else metrics_of(hourly, HOURLY_KEYS)
-    return sum_metrics(with_day(hourly, metrics), DAILY_KEYS, metrics)
+    # the seven keys are NOT NULL (checked when the feeds are loaded)
+    return sum_metrics(with_day(hourly, metrics), DAILY_KEYS, metrics, keys_not_null=True)
 
 
 def daily_rows(hourly: DataFrame, metrics=None, order_by=DIM_COLS) -> DataFrame:
