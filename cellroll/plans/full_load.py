@@ -26,7 +26,7 @@ from ..functions.time import day_of
 from ..operators.combine import feed_join, feed_join_audit
 from ..operators.publish import first_wins, insert_ignore_into
 from ..operators.quality import duplicate_keys
-from ..operators.rollup import daily_rollup, daily_rows
+from ..operators.rollup import daily_rows
 from ..schema import DAILY_UNIQUE, DIM_COLS, HOURLY_KEYS, HOURLY_UNIQUE, KEY_COL, TIME_COL, FeedSpec
 from ..session import delete_path, scratch_path, tune_wide
 from ..sinks.tables import overwrite_partitions, read_table, restrict_to, touched_dates
@@ -91,9 +91,15 @@ def _rejects(spark: SparkSession, out: str) -> int:
     return reject_rows(spark, out).count()
 
 
-def _duplicates(df: DataFrame) -> int:
-    dup = duplicate_keys(df.select(*HOURLY_UNIQUE), HOURLY_UNIQUE)
-    return int(dup.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+def _duplicates(counter: DataFrame, qual: DataFrame) -> tuple[int, int]:
+    """Rows in duplicated (resulttime, unique_id) keys of each feed, one job
+    over the key columns of both staged feeds."""
+    keys = list(HOURLY_UNIQUE)
+    both = (counter.select(*keys, F.lit("counter").alias("feed"))
+            .unionByName(qual.select(*keys, F.lit("qual").alias("feed"))))
+    got = {r["feed"]: int(r["n"]) for r in
+           duplicate_keys(both, [*keys, "feed"]).groupBy("feed").agg(F.sum("n").alias("n")).collect()}
+    return got.get("counter", 0), got.get("qual", 0)
 
 
 def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
@@ -118,8 +124,7 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
 
     counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error)
     qual = stage_feed(spark, qual_paths, qual_spec, f"{work}/qual", on_error)
-    rep.counter_duplicates = _duplicates(counter)
-    rep.qual_duplicates = _duplicates(qual)
+    rep.counter_duplicates, rep.qual_duplicates = _duplicates(counter, qual)
     if on_error == "raise":
         if rep.counter_duplicates or rep.qual_duplicates:
             raise LoadError(f"duplicate (resulttime, unique_id) rows: counter {rep.counter_duplicates}, "
@@ -149,8 +154,12 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     rep.hourly_appended = int(got.get("appended", 0))
 
     if mode == "ignore":
-        daily_new = daily_rollup(load, metrics)
-        got = insert_ignore_into(spark, daily_new, daily_path, DAILY_UNIQUE, order_by=list(DIM_COLS),
+        # the day's rows, first-wins within this load, written once: the
+        # clash check and the append then read a small table instead of
+        # running the wide roll-up twice
+        daily_rows(load, metrics).write.mode("errorifexists").parquet(f"{work}/daily")
+        daily_new = spark.read.parquet(f"{work}/daily")
+        got = insert_ignore_into(spark, daily_new, daily_path, DAILY_UNIQUE, dedup=False,
                                  order_within=daily_order(), dates=dates)
         rep.daily_appended = int(got.get("appended", 0))
     else:
