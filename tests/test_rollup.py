@@ -40,3 +40,20 @@ def test_passes_on_non_null_keys_add_no_exchange(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_daily_rollup_reduces_a_hot_cell_map_side(spark):
+    import datetime as dt
+
+    from cellroll.operators.rollup import daily_rollup
+
+    # one cell holds every row: partial sums before the exchange keep it to
+    # one row per task and day
+    rows = [(dt.datetime(2018, 8, 1, h % 24), 12345, "M", "C", 7, 12, 345, float(h)) for h in range(500)]
+    df = spark.createDataFrame(rows, "resulttime timestamp_ntz, unique_id int, mbsc string, cellname string, "
+                                     "cellindex int, lac int, ci int, m1 double").repartition(4)
+    out = daily_rollup(df, ["m1"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    got = out.collect()
+    assert len(got) == 1 and got[0]["m1"] == float(sum(range(500)))
