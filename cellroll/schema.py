@@ -93,7 +93,8 @@ class FeedSpec:
     fields:      file field names in file order; default = every column but
                  the derived key.  Columns not in ``fields`` (and not derived)
                  load as typed NULL.
-    sep:         field separator, any string (taken literally).
+    sep:         field separator, any string (taken literally); the two
+                 characters backslash-t given as text mean a tab.
     header:      drop the first line of every input file.
     null_marker: a field equal to this text loads as NULL; None = no marker,
                  so an empty field is a value (and fails a numeric cast).
@@ -111,6 +112,12 @@ class FeedSpec:
     not_null: tuple[str, ...] = ()
     line_sep: str = "\n"
 
+    def __post_init__(self):
+        if self.sep == "\\t":
+            object.__setattr__(self, "sep", "\t")
+        if not self.sep:
+            raise ValueError("empty separator")
+
     @property
     def column_names(self) -> tuple[str, ...]:
         return tuple(n for n, _ in self.columns)
