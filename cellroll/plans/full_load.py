@@ -164,9 +164,10 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
         rep.daily_appended = int(got.get("appended", 0))
     else:
         hourly = read_table(spark, hourly_path)
-        rows = daily_rows(restrict_to(hourly, dates).drop("date"), metrics)
-        overwrite_partitions(rows, daily_path, daily_order())
-        rep.recomputed_dates = list(dates or [])
+        if hourly is not None and dates != []:
+            rows = daily_rows(restrict_to(hourly, dates).drop("date"), metrics)
+            overwrite_partitions(rows, daily_path, daily_order())
+            rep.recomputed_dates = list(dates or [])
     if cleanup:
         delete_path(spark, work)
     return rep

@@ -94,3 +94,9 @@ def test_full_width_feed(spark, tmp_dir):
     assert len(daily) == 1
     r = daily[0]
     assert r[cm[0]] == 0 + 1 + 2 and r[cm[-1]] == 3 * 290 + 3 and r[qm[-1]] == 3 * 87.0
+
+
+def test_load_with_no_matching_hours(spark, tmp_dir):
+    for mode in ("ignore", "recompute"):
+        rep = _load(spark, f"{tmp_dir}/{mode}", "r1", [(0, 1)], [(5, 1)], mode)
+        assert rep.joined == 0 and rep.hourly_appended == 0
