@@ -48,6 +48,26 @@ def build_session(master: str | None = None, app: str = "cellroll", shuffle_part
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 << 20) -> dict:
+    """Sizing settings for a load of ``input_bytes`` on ``total_cores`` task slots.
+
+    Scan splits of ``partition_bytes``; enough shuffle partitions that none
+    holds more than about ``partition_bytes`` (AQE coalesces small ones and
+    splits skewed ones of more than 4x the median).  A 386-column row is about
+    3 KB, so a 256 MB partition holds under 100,000 rows and its aggregation
+    buffers fit in executor memory.
+    """
+    parts = max(total_cores * 3, -(-input_bytes // partition_bytes))
+    return {
+        **WIDE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def tune_wide(spark: SparkSession, n_columns: int) -> None:
     """Session settings for a plan that carries ``n_columns`` columns."""
     cur = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))

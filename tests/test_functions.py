@@ -28,3 +28,12 @@ def test_time_buckets_match_floor_from_monday_2000(spark):
 
 def test_tab_given_as_text():
     assert cell_feed_spec(["m"], sep="\\t").sep == "\t"
+
+
+def test_cluster_conf_scales_partitions():
+    from cellroll.session import cluster_conf
+
+    c = cluster_conf(100 << 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
+    assert c["spark.sql.codegen.hugeMethodLimit"] == "8000"
