@@ -100,3 +100,23 @@ def test_load_with_no_matching_hours(spark, tmp_dir):
     for mode in ("ignore", "recompute"):
         rep = _load(spark, f"{tmp_dir}/{mode}", "r1", [(0, 1)], [(5, 1)], mode)
         assert rep.joined == 0 and rep.hourly_appended == 0
+
+
+def test_rerun_after_crash_between_hourly_and_daily(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cellroll.operators.combine import feed_join
+    from cellroll.operators.publish import insert_ignore_into
+    from cellroll.sources.feed import load_feed
+
+    c = _feed(tmp_dir, "r1/counter.csv", [(0, 1), (1, 2)])
+    q = _feed(tmp_dir, "r1/qual.csv", [(0, 0), (1, 0)])
+    # the first attempt got as far as the hourly append, then died
+    load = feed_join(load_feed(spark, c, CSPEC).rows, load_feed(spark, q, QSPEC).rows)
+    insert_ignore_into(spark, load.withColumn("date", F.to_date("resulttime")), f"{tmp_dir}/hourly",
+                       ["resulttime", "unique_id"])
+    rep = run_load(spark, c, q, counter_spec=CSPEC, qual_spec=QSPEC, hourly_path=f"{tmp_dir}/hourly",
+                   daily_path=f"{tmp_dir}/daily")
+    assert rep.hourly_appended == 0 and rep.daily_appended == 1
+    assert [h[:2] for h in _hourly(spark, tmp_dir)] == [(0, 1.0), (1, 2.0)]
+    assert _daily(spark, tmp_dir) == [(dt.date(2018, 8, 1), 3.0, 0.0)]
