@@ -98,7 +98,7 @@ def insert_ignore_into(spark: SparkSession, new: DataFrame, path: str, keys, *,
             dates = touched_dates(new, partition_col)
         existing = restrict_to(target, dates, partition_col)
         cand, clashing = drop_existing(cand, existing, keys)
-    obs = Observation("insert_ignore")
+    obs = Observation()
     cand = cand.observe(obs, F.count(F.lit(1)).alias("appended"))
     append_partitioned(cand, path, order_within, partition_col)
     return {**dict(obs.get), "existing_keys": clashing}

@@ -57,3 +57,15 @@ def test_daily_rollup_reduces_a_hot_cell_map_side(spark):
     assert "partial_sum" in plan
     got = out.collect()
     assert len(got) == 1 and got[0]["m1"] == float(sum(range(500)))
+
+
+def test_bucket_rollup_quarter_hours(spark):
+    import datetime as dt
+
+    from cellroll.operators.rollup import bucket_rollup
+
+    t0 = dt.datetime(2018, 8, 1, 10, 0)
+    rows = [(t0 + dt.timedelta(minutes=m), 1, float(m)) for m in range(0, 60, 5)]
+    df = spark.createDataFrame(rows, "resulttime timestamp_ntz, unique_id int, m1 double")
+    got = sorted((r.bucket.minute, r.m1) for r in bucket_rollup(df, "15 minutes", ["unique_id"], ["m1"]).collect())
+    assert got == [(0, 0.0 + 5 + 10), (15, 15.0 + 20 + 25), (30, 30.0 + 35 + 40), (45, 45.0 + 50 + 55)]
