@@ -49,6 +49,8 @@ class LoadError(RuntimeError):
 @dataclass
 class LoadReport:
     work: str
+    counter_lines: int = 0  # lines read per feed (observed while staging)
+    qual_lines: int = 0
     counter_rejects: int = 0
     qual_rejects: int = 0
     counter_duplicates: int = 0
@@ -59,14 +61,16 @@ class LoadReport:
     recomputed_dates: list = field(default_factory=list)
 
 
-def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: str = "raise") -> DataFrame:
+def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: str = "raise",
+               totals: dict | None = None) -> DataFrame:
     """Parse one feed and write it once as Parquet, good and reject rows
     side by side (``status=good`` / ``status=reject``); returns the good rows.
 
     on_error='raise' fails the job at the first bad line instead.
+    ``totals`` receives n_lines / n_rejects observed during the write.
     """
     parsed = parse_lines(read_lines(spark, paths, header=spec.header, line_sep=spec.line_sep), spec)
-    parsed, _ = observe_totals(parsed)
+    parsed, obs = observe_totals(parsed)
     bad = is_bad()
     if on_error == "raise":
         fail = F.when(bad, F.raise_error(F.concat(
@@ -76,6 +80,8 @@ def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: s
                            REJECT_COL, "source_file",
                            F.when(bad, F.lit("reject")).otherwise(F.lit("good")).alias("status"))
     staged.write.mode("errorifexists").partitionBy("status").parquet(out)
+    if totals is not None:
+        totals.update({k: int(v or 0) for k, v in obs.get.items()})
     return good_rows(spark, out).select(*spec.column_names)
 
 
@@ -122,8 +128,10 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     work = work or scratch_path(spark, "load")
     rep = LoadReport(work=work)
 
-    counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error)
-    qual = stage_feed(spark, qual_paths, qual_spec, f"{work}/qual", on_error)
+    ct, qt = {}, {}
+    counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error, ct)
+    qual = stage_feed(spark, qual_paths, qual_spec, f"{work}/qual", on_error, qt)
+    rep.counter_lines, rep.qual_lines = ct.get("n_lines", 0), qt.get("n_lines", 0)
     rep.counter_duplicates, rep.qual_duplicates = _duplicates(counter, qual)
     if on_error == "raise":
         if rep.counter_duplicates or rep.qual_duplicates:

@@ -38,6 +38,7 @@ def test_late_hours(spark, tmp_dir, mode, expect):
     _load(spark, tmp_dir, "r1", [(0, 1), (1, 2)], [(0, 0), (1, 0)], mode)
     rep = _load(spark, tmp_dir, "r2", [(1, 9), (2, 4)], [(1, 0), (2, 0)], mode)
     assert rep.hourly_appended == 1
+    assert (rep.counter_lines, rep.qual_lines, rep.joined) == (2, 2, 2)
     assert [h[:2] for h in _hourly(spark, tmp_dir)] == [(0, 1.0), (1, 2.0), (2, 4.0)]
     assert _daily(spark, tmp_dir) == [(dt.date(2018, 8, 1), expect, 0.0)]
 
