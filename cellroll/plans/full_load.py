@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import day_of
@@ -29,7 +29,7 @@ from ..operators.quality import duplicate_keys
 from ..operators.rollup import daily_rows
 from ..schema import DAILY_UNIQUE, DIM_COLS, HOURLY_KEYS, HOURLY_UNIQUE, KEY_COL, TIME_COL, FeedSpec
 from ..session import delete_path, scratch_path, tune_wide
-from ..sinks.tables import overwrite_partitions, read_table, restrict_to, touched_dates
+from ..sinks.tables import MAX_PRUNE_DATES, overwrite_partitions, read_table, restrict_to
 from ..sources.feed import REJECT_COL, is_bad, observe_totals, parse_lines
 from ..sources.lines import read_lines
 
@@ -147,14 +147,19 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
 
     qual_metrics = [c for c in qual_spec.column_names if c not in set(counter_spec.column_names)]
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
+    # rows and distinct dates of the load, observed while it is written (a
+    # set of dates is unaffected by a retried task; its size is checked)
+    obs = Observation()
+    joined = joined.observe(obs, F.count(F.lit(1)).alias("rows"),
+                            F.collect_set(day_of(TIME_COL)).alias("dates"))
     joined.write.mode("errorifexists").parquet(f"{work}/load")
+    seen = obs.get
+    rep.joined = int(seen["rows"])
+    dates = sorted(seen["dates"]) if len(seen["dates"]) <= MAX_PRUNE_DATES else None
     load = spark.read.parquet(f"{work}/load")
-    rep.joined = load.count()
     metrics = [c for c in load.columns if c not in set(HOURLY_KEYS)]
 
     hourly_new = load.withColumn("date", day_of(TIME_COL))
-    # the dates of the load, read once from the narrow time column
-    dates = touched_dates(hourly_new)
     # Within one load the keys are unique (checked or resolved above), so no
     # first-wins pass is needed before the anti-join.
     got = insert_ignore_into(spark, hourly_new, hourly_path, HOURLY_UNIQUE, dedup=False,
