@@ -115,3 +115,12 @@ def test_column_list_and_wide_key(spark, tmp_dir):
     rows = load_feed(spark, path, spec).rows.collect()
     assert rows[0]["unique_id"] == 6553565535
     assert rows[0]["m1"] is None and rows[0]["m2"] == 7.0 and rows[0]["m3"] is None
+
+
+def test_folder_with_empty_file_and_markers(spark, tmp_dir):
+    write_text(f"{tmp_dir}/in/part-0.csv", [LINES[0], LINES[2]])
+    write_text(f"{tmp_dir}/in/part-1.csv", [], end=False)
+    write_text(f"{tmp_dir}/in/_SUCCESS", [], end=False)
+    write_text(f"{tmp_dir}/in/.part-0.csv.crc", ["junk"])
+    rows = load_feed(spark, f"{tmp_dir}/in", SPEC).rows.collect()
+    assert sorted(r["unique_id"] for r in rows) == [12045, 12345]
