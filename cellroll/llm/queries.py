@@ -6,19 +6,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
+from .substring_dedup import remove_earlier
+from .suffix_dedup import remove_repeated
 from .tables import read
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated(read(spark, sf_dir, "documents"), length=400, digests=True)
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier(read(spark, sf_dir, "documents"), length=20, digests=True)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op4_bpe_codec": op4_bpe_codec,
     "op9_token_counts": op9_token_counts,
 }

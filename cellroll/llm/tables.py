@@ -40,3 +40,19 @@ def saved(df: DataFrame, what: str) -> DataFrame:
 def held_out(id_col: str = "doc_id") -> Column:
     """crc32 of the id's text modulo 3 is 1: rows that no model learns from."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(d, doc_id, text): d is an id that no two rows share and that sorts like (doc_id, text hash).
+
+    Where ids are unique and there, d is doc_id itself and nothing is written or sorted.  Otherwise the rows
+    are written once and numbered by a distributed sort of their ids and hashes; NULL ids come first.
+    """
+    docs = id_text(docs, id_col, text_col)
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        return docs.select(F.col("doc_id").alias("d"), "doc_id", "text")
+    rows = saved(docs.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    ids = rows.select("row", "doc_id", F.xxhash64("text").alias("h")).orderBy(F.col("doc_id").asc_nulls_first(), "h", "row")
+    numbered = saved(ids.rdd.zipWithIndex().map(lambda x: (x[0]["row"], x[1])).toDF("row long, d long"), "numbers")
+    return rows.join(numbered, "row").select("d", "doc_id", "text")
