@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
+from .langid_crf import language
 from .substring_dedup import remove_earlier
 from .suffix_dedup import remove_repeated
 from .tables import read
@@ -25,6 +26,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(read(spark, sf_dir, "documents"), length=400, digests=True)
 
 
+def op6_langid_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(read(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(read(spark, sf_dir, "documents"), length=20, digests=True)
 
@@ -36,6 +41,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_langid_crf": op6_langid_crf,
     "op7_substring_dedup": op7_substring_dedup,
     "op4_bpe_codec": op4_bpe_codec,
     "op9_token_counts": op9_token_counts,
