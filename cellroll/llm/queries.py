@@ -7,17 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
 from .langid_crf import language
+from .license_scan import license_scan
+from .license_scan import oracle_sql as license_sql
 from .substring_dedup import remove_earlier
 from .suffix_dedup import remove_repeated
 from .tables import read
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .va_topk import top_k
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op1_va_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
@@ -38,13 +45,34 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_va_topk": op1_va_topk,
     "op2_toxicity": op2_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_langid_crf": op6_langid_crf,
     "op7_substring_dedup": op7_substring_dedup,
     "op4_bpe_codec": op4_bpe_codec,
     "op9_token_counts": op9_token_counts,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_va_topk": """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+      WHERE q.vec_id % 50 = 0),
+    r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_license_scan": license_sql(),
+}
