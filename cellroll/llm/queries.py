@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
+from .decontam import contaminated
 from .langid_crf import language
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
@@ -41,6 +42,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(read(spark, sf_dir, "documents"), length=20, digests=True)
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op6_langid_crf": op6_langid_crf,
     "op7_substring_dedup": op7_substring_dedup,
     "op4_bpe_codec": op4_bpe_codec,
+    "op8_decontam": op8_decontam,
     "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
 }
