@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
 from .decontam import contaminated
+from .jaccard_join import join_report
 from .langid_crf import language
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
@@ -30,6 +31,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_report(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(read(spark, sf_dir, "documents"), length=400, digests=True)
 
@@ -57,6 +62,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_va_topk": op1_va_topk,
     "op2_toxicity": op2_toxicity,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_langid_crf": op6_langid_crf,
     "op7_substring_dedup": op7_substring_dedup,
