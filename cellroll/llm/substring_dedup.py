@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .arrays import Words, blocks
 from .repeats import Repeats, batch, union
-from .tables import keyed
+from .tables import free_name, keyed
 
 LENGTH, SEED = 20, 7
 
@@ -66,3 +66,36 @@ def remove_earlier(docs: DataFrame, *, length: int = LENGTH, seed: int = SEED, i
 
     schema = "doc_id long, n_words long, n_removed long, " + ("kept_sha256 string" if digests else "text string")
     return docs.join(spans, "d", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+
+
+def drop_earlier(docs: DataFrame, key: str, *, length: int = LENGTH, seed: int = SEED, text_col: str = "text", size_col: str | None = None) -> DataFrame:
+    """The documents with all their columns, without word sequences that stand in one of smaller ``key``.
+
+    Texts that lose nothing stay as they are; others are their kept words joined by spaces, and ``size_col``,
+    if given, is their new length in characters.  A document that loses all its words goes.
+    """
+    at, own = free_name(docs, "span_key"), free_name(docs, "spans")
+    spans = repeats(length, seed).spans(keyed(docs, key, text_col), "seeds").select(F.col("d").alias(at), F.col("spans").alias(own))
+    names = docs.columns
+
+    def rewrite(batches):
+        for rb in batches:
+            for first, end, data, off in blocks(rb.column(text_col)):
+                part = rb.slice(first, end - first)
+                texts, sizes = part.column(text_col).to_pylist(), None
+                if size_col:
+                    sizes = part.column(size_col).to_pylist()
+                stay = np.ones(part.num_rows, dtype=bool)
+                for i, spans in enumerate(part.column(own).to_pylist()):
+                    if not spans:
+                        continue
+                    words = data[off[i]:off[i + 1]].tobytes().split()
+                    gone = union(np.array([s["a"] for s in spans]), np.array([s["b"] for s in spans]), len(words))
+                    texts[i] = b" ".join(words[k] for k in np.flatnonzero(~gone)).decode()
+                    stay[i] = bool(texts[i])
+                    if size_col:
+                        sizes[i] = len(texts[i])
+                columns = [pa.array(texts, pa.string()) if n == text_col else pa.array(sizes, part.column(n).type) if n == size_col else part.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stay))
+
+    return docs.join(spans, F.col(key) == F.col(at), "left").drop(at).mapInArrow(rewrite, docs.schema)

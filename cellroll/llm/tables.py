@@ -56,3 +56,23 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     ids = rows.select("row", "doc_id", F.xxhash64("text").alias("h")).orderBy(F.col("doc_id").asc_nulls_first(), "h", "row")
     numbered = saved(ids.rdd.zipWithIndex().map(lambda x: (x[0]["row"], x[1])).toDF("row long, d long"), "numbers")
     return rows.join(numbered, "row").select("d", "doc_id", "text")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores before it as it takes not to clash with a column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
+def with_row_key(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """The rows and the name of a column without NULLs or repeats: the id where it is one, else a new column.
+
+    With a new column the rows are written once, as their numbers depend on how they are read.
+    """
+    odd = docs.groupBy(F.col(id_col).alias("k")).count().where("count > 1 or k is null").limit(1).count()
+    if not odd:
+        return docs, id_col
+    key = free_name(docs, "row_key")
+    return saved(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
