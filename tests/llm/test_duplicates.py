@@ -1,0 +1,201 @@
+"""Jaccard join, suffix dedup and substring dedup against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_helpers import words
+
+from cellroll.llm import jaccard_join, repeats
+from cellroll.llm.components import components
+from cellroll.llm.substring_dedup import remove_earlier
+from cellroll.llm.suffix_dedup import remove_repeated
+
+SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def corpus(seed, vocabulary, n=60, most=120):
+    """Texts with copies, near copies, shared passages, inner repeats, odd and empty ones."""
+    r = random.Random(seed)
+    passage = words(r, vocabulary, 40)
+    out = []
+    for k in range(n):
+        own = words(r, vocabulary, r.randint(1, most))
+        if k % 4 == 1:
+            at = r.randrange(len(own) + 1)
+            own[at:at] = passage[r.randrange(10): r.randrange(25, 41)]
+        if k % 5 == 2 and out:
+            own = r.choice(out).split()
+            for _ in range(r.choice((0, 0, 1, 3))):
+                own[r.randrange(len(own))] = r.choice(vocabulary)
+        if k % 9 == 3:
+            own = own + own[: r.randint(1, len(own))]
+        out.append((" " if k % 2 else "\n").join(own))
+    return [*out, "", "a", "a b", "  ", "x " * 500, "y" * 900]
+
+
+# -- Jaccard -----------------------------------------------------------------------------------------
+
+
+def shingle_set(text, n):
+    w = SPLIT.findall((text or "").encode().lower())
+    if not w:
+        return frozenset()
+    return frozenset(b" ".join(w[i:i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([b" ".join(w)])
+
+
+def brute_components(rows, n, percent):
+    sets = [shingle_set(t, n) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                root[find(i)] = find(j)
+    low = {}
+    for i, (k, _) in enumerate(rows):
+        low.setdefault(find(i), []).append(k)
+    return sorted((k, len(sets[i]), min(x for x in low[find(i)] if x is not None) if any(x is not None for x in low[find(i)]) else None) for i, (k, _) in enumerate(rows) if k is not None)
+
+
+@pytest.mark.parametrize(("seed", "percent", "n"), [(1, 85, 4), (2, 50, 2), (3, 30, 1)])
+def test_components_equal_brute_force(frame, vocabulary, seed, percent, n):
+    texts = corpus(seed, vocabulary[:40] if n == 1 else vocabulary, most=40)
+    r = random.Random(seed)
+    ids = r.sample(range(1000), len(texts))
+    rows = list(zip(ids, texts, strict=True))
+    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows), words=n, percent=percent).collect())
+    assert got == brute_components(rows, n, percent)
+
+
+def test_chain_of_links_and_group_of_near_copies(frame, vocabulary):
+    r = random.Random(4)
+    base = words(r, vocabulary, 100)
+    rows = []
+    for i in range(120):  # each differs from the next by one word: far ends share little
+        base[i % 100] = f"w{i}"
+        rows.append((i, " ".join(base)))
+    hub = words(r, vocabulary, 100)
+    for i in range(150):
+        own = list(hub)
+        own[r.randrange(100)] = f"v{i}"
+        rows.append((1000 + i, " ".join(own)))
+    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows)).collect())
+    assert got == brute_components(rows, 4, 85)
+
+
+def test_jaccard_odd_rows(frame):
+    text = "one two three four five six seven"
+    rows = [(5, text), (5, text), (None, text), (3, text.upper()), (7, None), (8, ""), (9, " \n "), (10, "one"), (11, "ONE"), (12, "x " * 30_000)]
+    got = sorted([tuple(x) for x in jaccard_join.join_report(frame(rows)).collect()], key=str)
+    assert got == sorted([(5, 4, 3), (5, 4, 3), (None, 4, 3), (3, 4, 3), (7, 0, 7), (8, 0, 8), (9, 0, 9), (10, 1, 10), (11, 1, 10), (12, 1, 12)], key=str)
+    assert jaccard_join.join_report(frame([])).count() == 0
+
+
+def test_components_of_links(spark):
+    r = random.Random(1)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(1000, 1080)] + [(2000, i) for i in range(2001, 2100)]
+    low = {x: x for e in links for x in e}
+    for _ in range(len(low)):
+        before = dict(low)
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: v for k, v in low.items() if k in got} and all(a == b or a in got for a, b in links)
+
+
+# -- repeated bytes and words ------------------------------------------------------------------------
+
+
+def brute_bytes(rows, length):
+    """Rows in any order; every row is a document of its own."""
+    data = [(t or "").encode() for _, t in rows]
+    seen = Counter(x[i:i + length] for x in data for i in range(len(x) - length + 1))
+    out = []
+    for (k, _), x in zip(rows, data, strict=True):
+        gone = [False] * len(x)
+        for i in range(len(x) - length + 1):
+            if seen[x[i:i + length]] > 1:
+                gone[i:i + length] = [True] * length
+        kept = bytes(b for b, g in zip(x, gone, strict=True) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((k, len(x), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def brute_words(rows, length):
+    """Rows in the order in which they count."""
+    seen, out = set(), []
+    for k, t in rows:
+        w = SPLIT.findall((t or "").encode())
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            x = tuple(w[i:i + length])
+            if x in seen:
+                gone[i:i + length] = [True] * length
+            seen.add(x)
+        kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((k, len(w), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_removed_bytes_equal_brute_force(frame, vocabulary, seed):
+    texts = corpus(seed, vocabulary)
+    rows = list(zip(random.Random(seed).sample(range(1000), len(texts)), texts, strict=True))
+    got = sorted([tuple(x) for x in remove_repeated(frame(rows), length=80, digests=True).collect()], key=str)
+    assert got == brute_bytes(rows, 80)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_removed_words_equal_brute_force(frame, vocabulary, seed):
+    texts = corpus(seed, vocabulary)
+    rows = sorted(zip(random.Random(seed).sample(range(1000), len(texts)), texts, strict=True))
+    got = sorted([tuple(x) for x in remove_earlier(frame(rows), length=12, seed=4, digests=True).collect()], key=str)
+    assert got == brute_words(rows, 12)
+
+
+@pytest.mark.parametrize("length", [16, 40])
+def test_few_letters_and_periods(frame, length):
+    """Texts over two letters, with runs and periods, have very many equal windows."""
+    r = random.Random(length)
+    texts = ["".join(r.choice("ab") for _ in range(r.randint(0, 150))) for _ in range(30)] + ["ab" * 60, "a" * 100, "b" + "ab" * 60]
+    rows = list(enumerate(texts))
+    got = sorted([tuple(x) for x in remove_repeated(frame(rows), length=length, digests=True).collect()], key=str)
+    assert got == brute_bytes(rows, length)
+    spaced = [(i, " ".join(t)) for i, t in rows]
+    got = sorted([tuple(x) for x in remove_earlier(frame(spaced), length=length // 2, seed=length // 4, digests=True).collect()], key=str)
+    assert got == brute_words(spaced, length // 2)
+
+
+def test_classes_of_very_many_contexts(frame, vocabulary, monkeypatch):
+    monkeypatch.setattr(repeats, "CLASS_BYTES", 600)
+    rows = list(enumerate(corpus(7, vocabulary)))
+    got = sorted([tuple(x) for x in remove_repeated(frame(rows), length=80, digests=True).collect()], key=str)
+    assert got == brute_bytes(rows, 80)
+    got = sorted([tuple(x) for x in remove_earlier(frame(rows), length=12, seed=4, digests=True).collect()], key=str)
+    assert got == brute_words(rows, 12)
+
+
+def test_repeats_odd_rows(frame):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    same = " ".join(f"s{i}" for i in range(90))
+    rows = [(None, same), (None, "z"), (4, same), (4, same), (5, None), (6, ""), (7, long), (8, long), (9, "é" * 300)]
+    got = sorted([tuple(x) for x in remove_repeated(frame(rows), digests=True).collect()], key=str)
+    # 400 bytes of the 2-byte letter stand at many places of its own text
+    assert got == brute_bytes([r for r in rows if r[0] not in (7, 8)] + [(7, long), (8, long)], 400) if len(long) < 1000 else {r[0]: r[2] for r in got if r[0] in (7, 8)} == {7: len(long), 8: len(long)}
+    assert [r[2] for r in got if r[0] == 9] == [600] and [r[1:3] for r in got if r[0] == 5] == [(0, 0)]
+    words_got = sorted([tuple(x)[:3] for x in remove_earlier(frame(rows), digests=True).collect()], key=str)
+    assert words_got == sorted([(None, 90, 0), (None, 1, 0), (4, 90, 90), (4, 90, 90), (5, 0, 0), (6, 0, 0), (7, 30_000, 0), (8, 30_000, 30_000), (9, 1, 0)], key=str)
+    assert remove_repeated(frame([])).count() == 0
+    assert remove_earlier(frame([])).count() == 0
