@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from ..schema import char_width, spark_type
 
 
+# Written forms that the target types accept.  Spark's own casts take more:
+# a type letter after a number ('1d') and dates without a month or day.
+_FORMS = {
+    "double": r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[+-]?(?i:inf|infinity)|(?i:nan))\s*$",
+    "timestamp": r"^\s*\d{4,6}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?\s*$",
+    "date": r"^\s*\d{4,6}-\d{1,2}-\d{1,2}\s*$",
+}
+
+
 def apply_null_marker(raw: Column, marker: str | None) -> Column:
     if marker is None:
         return raw
@@ -27,6 +36,9 @@ def typed_value(raw: Column, type_name: str) -> Column:
         return F.rtrim(raw)
     if type_name == "string":
         return raw
+    form = _FORMS.get(type_name)
+    if form is not None:
+        raw = F.when(raw.rlike(form), raw)
     return raw.try_cast(spark_type(type_name))
 
 

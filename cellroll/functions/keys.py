@@ -21,8 +21,3 @@ def cell_key_text(lac_raw, ci_raw) -> Column:
 def cell_key(lac_raw, ci_raw, wide: bool = False) -> Column:
     """Key as int (default, NULL when out of range or not a number) or bigint."""
     return cell_key_text(lac_raw, ci_raw).try_cast("bigint" if wide else "int")
-
-
-def cell_key_ok(lac_raw, ci_raw, wide: bool = False) -> Column:
-    """True when both parts are present and the key parses in range."""
-    return cell_key(lac_raw, ci_raw, wide).isNotNull()

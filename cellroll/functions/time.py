@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from .text import _col
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
-# Fixed value: multi-day buckets are aligned to Monday 2000-01-03, which is
-# 10959 days after 1970-01-01 (Spark's own alignment point).
-_ALIGN_DAYS = 10959
+# Fixed value: buckets of every width are aligned to Monday 2000-01-03.
+_ORIGIN = "timestamp_ntz'2000-01-03 00:00:00'"
 
 
 def _width_seconds(width: str) -> int:
@@ -23,21 +22,22 @@ def _width_seconds(width: str) -> int:
 
 
 def time_bucket(ts, width: str) -> Column:
-    """Floor ``ts`` to a bucket of ``width`` ('1 day', '1 hour', '15 minutes').
+    """Floor ``ts`` to a bucket of ``width`` ('1 day', '7 hours', '15 minutes').
 
-    Keeps the input type (TIMESTAMP_NTZ stays NTZ).  Widths of whole days
-    that do not divide the alignment offset are shifted so that buckets
-    start on 2000-01-03, like ``time_bucket`` in SQL engines that follow that
-    convention.
+    Whole-number arithmetic on the microseconds since 2000-01-03, where a
+    bucket of any width starts.  Keeps the input type (TIMESTAMP_NTZ stays
+    NTZ); NULL stays NULL; several buckets can stand in one select.
     """
-    secs = _width_seconds(width)
-    start = None
-    if secs >= 86400 and secs % 86400 == 0:
-        off_days = _ALIGN_DAYS % (secs // 86400)
-        if off_days:
-            start = f"{off_days} days"
-    w = F.window(_col(ts), f"{secs} seconds", startTime=start) if start else F.window(_col(ts), f"{secs} seconds")
-    return w.start
+    micros = _width_seconds(width) * 1_000_000
+    since = _col(ts).cast("timestamp_ntz") - F.expr(_ORIGIN)
+
+    def part(unit: str, size: int) -> Column:
+        return (F.extract(F.lit(unit), since).cast("decimal(20,6)") * size).cast("bigint")
+
+    total = part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + part("SECOND", 1_000_000)
+    past = F.pmod(total, F.lit(micros).cast("bigint"))
+    seconds = (past.cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return _col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def day_of(ts) -> Column:

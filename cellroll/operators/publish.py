@@ -9,12 +9,11 @@ Scale notes:
 * ``first_wins`` is ``row_number() == 1`` over the key; Catalyst turns it
   into a partial WindowGroupLimit before the shuffle, so a key that holds a
   third of the rows sends one row per map task, not the whole group.
-* ``insert_ignore_into`` reads only the key columns of the target, and only
-  the dates the load touches (literal list -> PartitionFilters).  It first
-  finds the keys of the load that already exist (a join of key columns only),
-  and touches the wide rows only as far as needed: no clash -> plain append;
-  a clash of at most ``BROADCAST_KEYS`` keys -> anti-join against those keys
-  broadcast; more -> shuffle anti-join.
+* ``insert_ignore_into`` decides on key columns: the load's keys are joined
+  once with the target's keys (only the dates the load spans are read), and
+  the keys that are new are written to the work folder.  With no new key
+  nothing is written; with no clash the wide rows are appended as they are;
+  otherwise they are joined with the written keys.
 """
 
 from __future__ import annotations
@@ -22,13 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sinks.tables import PARTITION_COL, append_partitioned, read_table, restrict_to, touched_dates
-
-# Most clashing keys sent to every executor as a broadcast: two key columns
-# (timestamp + int, or date + int) take about 40 bytes per key in the hash
-# relation, so the bound keeps the broadcast near 40 MB.
-BROADCAST_KEYS = 1_000_000
-
+from ..session import scratch_path
+from ..sinks.tables import PARTITION_COL, append_partitioned, check_columns, read_table, restrict_to
 
 def _order_cols(df: DataFrame, keys, order_by) -> list[Column]:
     if order_by is None:
@@ -62,43 +56,45 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
     return target.unionByName(added.select(*target.columns))
 
 
-def drop_existing(new: DataFrame, existing_keys: DataFrame, keys, broadcast_keys: int = BROADCAST_KEYS):
-    """``new_only`` for wide rows: decide on the key columns, then touch the rows.
-
-    Returns (rows, n_clashing_keys).
-    """
+def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys) -> tuple[DataFrame, int, int]:
+    """The load's keys that the target lacks, written once; with their number and the number of the others."""
     keys = list(keys)
-    clash = new.select(*keys).join(existing_keys.select(*keys), keys, "left_semi").distinct()
-    n = clash.count()
-    if n == 0:
-        return new, 0
-    if n <= broadcast_keys:
-        return new.join(F.broadcast(clash), keys, "left_anti"), n
-    return new.join(existing_keys.select(*keys), keys, "left_anti"), n
+    spark = keys_of_load.sparkSession
+    path = scratch_path(spark, "keys")
+    left = keys_of_load.select(*keys).distinct()
+    mark = existing.select(*keys, F.lit(True).alias("_there")).distinct()
+    obs = Observation()
+    joined = left.join(mark, keys, "left").observe(obs, F.count(F.lit(1)).alias("n"), F.count("_there").alias("there"))
+    joined.where(F.col("_there").isNull()).select(*keys).write.parquet(path)
+    n, there = int(obs.get["n"]), int(obs.get["there"])
+    return spark.read.schema(left.schema).parquet(path), n - there, there
 
 
-def insert_ignore_into(spark: SparkSession, new: DataFrame, path: str, keys, *, order_by=None,
+def insert_ignore_into(spark: SparkSession, new: DataFrame, target: str, keys, *, order_by=None,
                        order_within=None, partition_col: str = PARTITION_COL, dedup: bool = True,
-                       dates=None) -> dict:
-    """Append the absent rows of ``new`` to the date-partitioned table at ``path``.
-
-    ``new`` must carry ``partition_col``.  ``dedup=False`` skips the
-    first-wins pass when the keys of ``new`` are already known to be unique.
-    ``dates``: the dates ``new`` covers, when the caller knows them cheaply
-    (else they are computed from ``new``).  Returns the rows appended
-    (observed during the write) and the keys that already existed.  Safe to
-    repeat: a second run appends nothing.
+                       span=None) -> dict:
+    """Append the absent rows of ``new`` to the date-partitioned table ``target`` (path or name).
+
+    ``new`` must carry ``partition_col`` and have the target's columns.
+    ``dedup=False`` skips the first-wins pass when the keys of ``new`` are
+    already known to be unique.  ``span``: (first date, last date) of
+    ``new`` when the caller knows them (else they are computed).  Returns
+    the rows appended (observed during the write) and the keys that already
+    existed.  Safe to repeat: a second run appends nothing.
     """
     keys = list(keys)
-    cand = first_wins(new, keys, order_by) if dedup else new
-    target = read_table(spark, path)
+    have = read_table(spark, target)
     clashing = 0
-    if target is not None:
-        if dates is None:
-            dates = touched_dates(new, partition_col)
-        existing = restrict_to(target, dates, partition_col)
-        cand, clashing = drop_existing(cand, existing, keys)
-    obs = Observation()
-    cand = cand.observe(obs, F.count(F.lit(1)).alias("appended"))
-    append_partitioned(cand, path, order_within, partition_col)
-    return {**dict(obs.get), "existing_keys": clashing}
+    cand = first_wins(new, keys, order_by) if dedup else new
+    if have is not None:
+        check_columns(new, have)
+        if span is None:
+            r = new.agg(F.min(partition_col), F.max(partition_col)).first()
+            span = (r[0], r[1])
+        fresh, n_fresh, clashing = new_keys(new, restrict_to(have, *span, partition_col), keys)
+        if not n_fresh:
+            return {"appended": 0, "existing_keys": clashing}
+        if clashing:
+            cand = cand.join(fresh, keys, "left_semi")
+    appended = append_partitioned(cand, target, order_within, partition_col)
+    return {"appended": appended, "existing_keys": clashing}

@@ -10,7 +10,7 @@ Wider roll-ups are therefore done in passes of at most ``SUMS_PER_PASS``
 metrics over the same input, joined back on the group keys (379 sums in
 passes of 96: 8-11 s).  From columnar input each pass reads only its own
 metric columns plus the keys, and every pass is hash partitioned on the
-same keys, so the joins add no exchange when the keys are known non-NULL.
+same keys, so the joins add no exchange.
 """
 
 from __future__ import annotations
@@ -26,33 +26,39 @@ from .publish import first_wins
 SUMS_PER_PASS = 96
 
 
+# What stands for a NULL key in a group's key columns, next to a flag that says so.
+_FILL = {"string": "''", "timestamp_ntz": "timestamp_ntz'1970-01-01 00:00:00'", "timestamp": "timestamp'1970-01-01 00:00:00'",
+         "date": "date'1970-01-01'", "boolean": "false"}
+
+
 def sum_metrics(df: DataFrame, dims, metrics, *, per_pass: int | None = SUMS_PER_PASS,
                 keys_not_null: bool = False) -> DataFrame:
     """GROUP BY ``dims``; SUM of every metric (NULLs ignored, all-NULL -> NULL).
 
     More than ``per_pass`` metrics: one aggregate per slice of metrics, then
-    the slices joined on ``dims`` (one row per group on every side, so 1:1).
-    ``keys_not_null=True`` (validated key columns) joins on plain equality,
-    reusing the aggregates' partitioning; otherwise the join is NULL-safe so
-    that a group with a NULL key is kept.
+    the slices joined on the group keys (one row per group on every side, so
+    1:1).  All joins are plain equalities on columns the aggregates are
+    partitioned by, so they add no exchange; a key that may be NULL is
+    grouped as a filled value and a flag.  ``keys_not_null=True`` (validated
+    key columns) leaves the flags out.
     """
     dims, metrics = list(dims), list(metrics)
     if not per_pass or len(metrics) <= per_pass:
         return df.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in metrics])
+    keys, back = dims, [F.col(d) for d in dims]
+    if not keys_not_null:
+        types = dict(df.dtypes)
+        flags = [f"_null_{i}" for i in range(len(dims))]
+        fill = [F.coalesce(F.col(d), F.expr(_FILL.get(types[d], "0")).cast(types[d])).alias(d) for d in dims]
+        rest = [m for m in metrics if m not in set(dims)]
+        df = df.select(*fill, *[F.col(d).isNull().alias(f) for d, f in zip(dims, flags, strict=True)], *rest)
+        keys = [*dims, *flags]
+        back = [F.when(~F.col(f), F.col(d)).alias(d) for d, f in zip(dims, flags, strict=True)]
     out = None
     for i in range(0, len(metrics), per_pass):
-        part = metrics[i:i + per_pass]
-        agg = df.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in part])
-        if out is None:
-            out = agg
-        elif keys_not_null:
-            out = out.join(agg, dims, "inner")
-        else:
-            tmp = [f"_k{i}_{j}" for j in range(len(dims))]
-            agg = agg.select(*[F.col(d).alias(t) for d, t in zip(dims, tmp)], *part)
-            cond = [F.col(d).eqNullSafe(F.col(t)) for d, t in zip(dims, tmp)]
-            out = out.join(agg, cond, "inner").drop(*tmp)
-    return out.select(*dims, *metrics)
+        agg = df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in metrics[i:i + per_pass]])
+        out = agg if out is None else out.join(agg, keys, "inner")
+    return out.select(*back, *metrics)
 
 
 def with_day(hourly: DataFrame, metrics=None) -> DataFrame:

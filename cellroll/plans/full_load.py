@@ -29,8 +29,8 @@ from ..operators.quality import duplicate_keys
 from ..operators.rollup import daily_rows
 from ..schema import DAILY_UNIQUE, DIM_COLS, HOURLY_KEYS, HOURLY_UNIQUE, KEY_COL, TIME_COL, FeedSpec
 from ..session import delete_path, scratch_path, tune_wide
-from ..sinks.tables import MAX_PRUNE_DATES, overwrite_partitions, read_table, restrict_to
-from ..sources.feed import REJECT_COL, is_bad, observe_totals, parse_lines
+from ..sinks.tables import PARTITION_COL, overwrite_partitions, read_table, restrict_to
+from ..sources.feed import REJECT_COL, is_bad, observe_totals, parse_lines, stop_at_bad
 from ..sources.lines import read_lines
 
 def hourly_order():
@@ -42,6 +42,9 @@ def daily_order():
     return (F.col(KEY_COL).asc(),)
 
 
+REPORT_DATES = 366
+
+
 class LoadError(RuntimeError):
     pass
 
@@ -58,7 +61,8 @@ class LoadReport:
     joined: int = 0
     hourly_appended: int = 0
     daily_appended: int = 0
-    recomputed_dates: list = field(default_factory=list)
+    recomputed: int = 0  # dates whose daily rows were rebuilt
+    recomputed_dates: list = field(default_factory=list)  # the first REPORT_DATES of them
 
 
 def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: str = "raise",
@@ -73,28 +77,35 @@ def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: s
     parsed, obs = observe_totals(parsed)
     bad = is_bad()
     if on_error == "raise":
-        fail = F.when(bad, F.raise_error(F.concat(
-            F.lit("bad line ["), F.col(REJECT_COL), F.lit("]: "), F.col("line"))))
-        parsed = parsed.filter(fail.isNull())
+        parsed = stop_at_bad(parsed)
     staged = parsed.select(*spec.column_names, F.when(bad, F.col("line")).alias("line"),
                            REJECT_COL, "source_file",
                            F.when(bad, F.lit("reject")).otherwise(F.lit("good")).alias("status"))
     staged.write.mode("errorifexists").partitionBy("status").parquet(out)
     if totals is not None:
         totals.update({k: int(v or 0) for k, v in obs.get.items()})
-    return good_rows(spark, out).select(*spec.column_names)
+    return good_rows(spark, out, spec).select(*spec.column_names)
+
+
+def _staged(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
+    # an empty feed leaves no file to take a schema from
+    schema = spec.schema().add("line", "string").add(REJECT_COL, "string").add("source_file", "string").add("status", "string")
+    return spark.read.schema(schema).parquet(staged)
 
 
-def good_rows(spark: SparkSession, staged: str) -> DataFrame:
-    return spark.read.parquet(staged).filter(F.col("status") == "good")
+def good_rows(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
+    return _staged(spark, staged, spec).filter(F.col("status") == "good")
 
 
-def reject_rows(spark: SparkSession, staged: str) -> DataFrame:
-    return spark.read.parquet(staged).filter(F.col("status") == "reject")
+def reject_rows(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
+    return _staged(spark, staged, spec).filter(F.col("status") == "reject")
 
 
-def _rejects(spark: SparkSession, out: str) -> int:
-    return reject_rows(spark, out).count()
+def resolve_duplicates(feed: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:
+    """First-wins for the keys that repeat; all other rows pass untouched by a sort or an order."""
+    keys = list(keys)
+    again = duplicate_keys(feed, keys).select(*keys)
+    return feed.join(again, keys, "left_anti").select(*feed.columns).unionByName(first_wins(feed.join(again, keys, "left_semi").select(*feed.columns), keys))
 
 
 def _duplicates(counter: DataFrame, qual: DataFrame) -> tuple[int, int]:
@@ -110,7 +121,7 @@ def _duplicates(counter: DataFrame, qual: DataFrame) -> tuple[int, int]:
 
 def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
              hourly_path: str, daily_path: str, mode: str = "ignore", on_error: str = "raise",
-             work: str | None = None, cleanup: bool = False) -> LoadReport:
+             work: str | None = None, cleanup: bool = True) -> LoadReport:
     """Load one pair of feed exports and publish them.
 
     mode='ignore'    (as the original): a daily row, once written, is never
@@ -121,13 +132,23 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
                      before anything is published.
     on_error='reject': bad lines are kept in the staged ``status=reject`` rows,
                      duplicates resolved first-wins; both are counted.
+    hourly_path, daily_path: folders, or names of catalog tables.
+    cleanup: remove the staged tables at the end, also after a failed load;
+             pass False to look at them (``reject_rows``, ``audit``).
     """
     if mode not in ("ignore", "recompute"):
         raise ValueError("mode must be 'ignore' or 'recompute'")
     tune_wide(spark, len(counter_spec.columns) + len(qual_spec.columns))
     work = work or scratch_path(spark, "load")
-    rep = LoadReport(work=work)
+    try:
+        return _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work)
+    finally:
+        if cleanup:
+            delete_path(spark, work)
+
 
+def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work) -> LoadReport:
+    rep = LoadReport(work=work)
     ct, qt = {}, {}
     counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error, ct)
     qual = stage_feed(spark, qual_paths, qual_spec, f"{work}/qual", on_error, qt)
@@ -138,56 +159,57 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
             raise LoadError(f"duplicate (resulttime, unique_id) rows: counter {rep.counter_duplicates}, "
                             f"qual {rep.qual_duplicates}; nothing published")
     else:
-        rep.counter_rejects = _rejects(spark, f"{work}/counter")
-        rep.qual_rejects = _rejects(spark, f"{work}/qual")
+        rep.counter_rejects, rep.qual_rejects = ct.get("n_rejects", 0), qt.get("n_rejects", 0)
         if rep.counter_duplicates:
-            counter = first_wins(counter, HOURLY_UNIQUE)
+            counter = resolve_duplicates(counter)
         if rep.qual_duplicates:
-            qual = first_wins(qual, HOURLY_UNIQUE)
+            qual = resolve_duplicates(qual)
 
     qual_metrics = [c for c in qual_spec.column_names if c not in set(counter_spec.column_names)]
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
-    # rows and distinct dates of the load, observed while it is written (a
-    # set of dates is unaffected by a retried task; its size is checked)
+    # rows, first and last date of the load, observed while it is written
     obs = Observation()
-    joined = joined.observe(obs, F.count(F.lit(1)).alias("rows"),
-                            F.collect_set(day_of(TIME_COL)).alias("dates"))
+    joined = joined.observe(obs, F.count(F.lit(1)).alias("rows"), F.min(day_of(TIME_COL)).alias("low"), F.max(day_of(TIME_COL)).alias("high"))
     joined.write.mode("errorifexists").parquet(f"{work}/load")
     seen = obs.get
     rep.joined = int(seen["rows"])
-    dates = sorted(seen["dates"]) if len(seen["dates"]) <= MAX_PRUNE_DATES else None
-    load = spark.read.parquet(f"{work}/load")
+    span = (seen["low"], seen["high"])
+    load = spark.read.schema(joined.schema).parquet(f"{work}/load")
     metrics = [c for c in load.columns if c not in set(HOURLY_KEYS)]
 
     hourly_new = load.withColumn("date", day_of(TIME_COL))
     # Within one load the keys are unique (checked or resolved above), so no
     # first-wins pass is needed before the anti-join.
     got = insert_ignore_into(spark, hourly_new, hourly_path, HOURLY_UNIQUE, dedup=False,
-                             order_within=hourly_order(), dates=dates)
+                             order_within=hourly_order(), span=span)
     rep.hourly_appended = int(got.get("appended", 0))
 
     if mode == "ignore":
         # the day's rows, first-wins within this load, written once: the
         # clash check and the append then read a small table instead of
         # running the wide roll-up twice
-        daily_rows(load, metrics).write.mode("errorifexists").parquet(f"{work}/daily")
-        daily_new = spark.read.parquet(f"{work}/daily")
+        daily = daily_rows(load, metrics)
+        daily.write.mode("errorifexists").parquet(f"{work}/daily")
+        daily_new = spark.read.schema(daily.schema).parquet(f"{work}/daily")
         got = insert_ignore_into(spark, daily_new, daily_path, DAILY_UNIQUE, dedup=False,
-                                 order_within=daily_order(), dates=dates)
+                                 order_within=daily_order(), span=span)
         rep.daily_appended = int(got.get("appended", 0))
     else:
         hourly = read_table(spark, hourly_path)
-        if hourly is not None and dates != []:
-            rows = daily_rows(restrict_to(hourly, dates).drop("date"), metrics)
+        if hourly is not None and rep.joined:
+            # exactly the dates of the load, at any number of them; the literal range prunes folders
+            hourly_new.select(PARTITION_COL).distinct().write.mode("errorifexists").parquet(f"{work}/dates")
+            touched = spark.read.schema("date date").parquet(f"{work}/dates")
+            hours = restrict_to(hourly, *span).join(touched, PARTITION_COL, "left_semi")
+            rows = daily_rows(hours.drop(PARTITION_COL), metrics)
             overwrite_partitions(rows, daily_path, daily_order())
-            rep.recomputed_dates = list(dates or [])
-    if cleanup:
-        delete_path(spark, work)
+            rep.recomputed = touched.count()
+            rep.recomputed_dates = [r[0] for r in touched.orderBy(PARTITION_COL).limit(REPORT_DATES).collect()]
     return rep
 
 
-def audit(spark: SparkSession, work: str) -> DataFrame:
-    """Matched / unmatched key counts of a staged run (what the join dropped)."""
-    c = good_rows(spark, f"{work}/counter")
-    q = good_rows(spark, f"{work}/qual")
+def audit(spark: SparkSession, work: str, counter_spec: FeedSpec, qual_spec: FeedSpec) -> DataFrame:
+    """Matched / unmatched key counts of a staged run (what the join dropped), run with cleanup=False."""
+    c = good_rows(spark, f"{work}/counter", counter_spec)
+    q = good_rows(spark, f"{work}/qual", qual_spec)
     return feed_join_audit(c, q)

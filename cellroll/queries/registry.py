@@ -19,8 +19,7 @@ from ..operators.quality import cell_key_collisions, duplicate_keys, quality_rep
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
 from ..operators.stats import load_totals
 from ..plans.full_load import run_load
-from ..schema import (COUNTER_FAMILIES, HOURLY_KEYS, KEY_COL, QUAL_FAMILIES, TIME_COL,
-                      cell_feed_spec, family_metric_names, table_spec)
+from ..schema import HOURLY_KEYS, KEY_COL, TIME_COL, FeedSpec, cell_feed_spec, metric_names, table_spec
 from ..session import scratch_path, tune_wide
 from ..sinks.tables import write_staging
 from ..sources.feed import load_feed, parse_lines
@@ -281,7 +280,7 @@ def q_load_totals(spark, sf):
     return load_totals(read_lines(spark, path), _lineitem_spec(spark, sf))
 
 
-WIDE_METRICS = family_metric_names(COUNTER_FAMILIES) + family_metric_names(QUAL_FAMILIES, "q")
+WIDE_METRICS = metric_names(379)
 
 
 def _wide_sql_expr(j: int) -> str:
@@ -346,6 +345,92 @@ def q_replay_idempotent(spark, sf):
     return spark.read.parquet(hourly).select(*_hourly_cols())
 
 
+def q_replay_daily(spark, sf):
+    hourly, daily = _targets(spark)
+    _load(spark, sf, hourly, daily)
+    _load(spark, sf, hourly, daily)
+    return _daily(spark, daily)
+
+
+def q_recompute_keeps_other_days(spark, sf):
+    """Recompute loads rebuild the dates they touch; a frozen earlier day stays as it was published.
+
+    Part 0 is published with mode='ignore' (whole days of hours before noon), then the later hours of all
+    dates but the first three are loaded with mode='recompute'.
+    """
+    hourly, daily = _targets(spark)
+    _load(spark, sf, hourly, daily, part=0)
+    ev = fx.half(fx.table(spark, sf, "events"), 1)
+    first = ev.agg(F.min(F.to_date("ts"))).first()[0]
+    late = ev.where(F.to_date("ts") > F.date_add(F.lit(first), 2))
+    feeds = []
+    for kind, rows, metrics in (("counter", fx.counter_rows(late), fx.COUNTER_METRICS), ("qual", fx.qual_rows(late), fx.QUAL_METRICS)):
+        feeds.append(fx.cached_export(spark, f"{kind}-late", sf, lambda r=rows, m=metrics: r.select(*fx.FILE_ORDER, *m), null_text="NULL"))
+    # hours of the first three dates after noon reach hourly without a recompute
+    early = ev.where(F.to_date("ts") <= F.date_add(F.lit(first), 2))
+    old = []
+    for kind, rows, metrics in (("counter", fx.counter_rows(early), fx.COUNTER_METRICS), ("qual", fx.qual_rows(early), fx.QUAL_METRICS)):
+        old.append(fx.cached_export(spark, f"{kind}-early", sf, lambda r=rows, m=metrics: r.select(*fx.FILE_ORDER, *m), null_text="NULL"))
+    kw = dict(counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC, hourly_path=hourly, daily_path=daily)
+    run_load(spark, *old, mode="ignore", **kw)
+    run_load(spark, *feeds, mode="recompute", **kw)
+    return _daily(spark, daily)
+
+
+def q_full_load_empty_qual(spark, sf):
+    """An empty quality feed joins with nothing; the feed after it loads as usual."""
+    hourly, daily = _targets(spark)
+    empty = fx.cached_export(spark, "qual-empty", sf, lambda: fx.qual_rows(fx.table(spark, sf, "events")).select(*fx.FILE_ORDER, *fx.QUAL_METRICS).where(F.lit(False)), null_text="NULL")
+    run_load(spark, fx.export_feed(spark, sf, "counter"), empty, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
+             hourly_path=hourly, daily_path=daily)
+    _load(spark, sf, hourly, daily)
+    return spark.read.parquet(hourly).select(*_hourly_cols())
+
+
+def q_time_bucket_odd_widths(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    return ev.select("event_id", *[time_bucket("ts", w).alias(n) for n, w in ODD_WIDTHS.items()])
+
+
+ODD_WIDTHS = {"b7m": "7 minutes", "b5h": "5 hours", "b7h": "7 hours", "b36h": "36 hours", "b7d": "7 days"}
+
+
+def q_time_bucket_nulls(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    ts = F.when(F.col("event_type") != "error", F.col("ts"))
+    return ev.groupBy(time_bucket(ts, "6 hours").alias("bucket")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def q_cast_strict_forms(spark, sf):
+    """Numbers with a type letter and dates without a day are refused."""
+    def build():
+        ev = fx.table(spark, sf, "events")
+        value = F.concat(F.col("event_id").cast("string"), F.when(F.col("event_type") == "click", F.lit("d")).when(F.col("event_type") == "view", F.lit(".5")).otherwise(F.lit("")))
+        when = F.date_format("ts", "yyyy-MM")
+        when = F.when(F.col("event_type") == "error", when).otherwise(F.concat(when, F.lit("-01 00:00:00")))
+        return ev.select(F.concat_ws(",", F.col("event_id").cast("string"), when, value).alias("value"))
+    path = fx.cached_export(spark, "events-forms", sf, build)
+    spec = FeedSpec(columns=(("event_id", "bigint"), ("ts", "timestamp"), ("value", "double")))
+    parsed = parse_lines(read_lines(spark, path), spec)
+    return parsed.select("event_id", "ts", "value", F.col("reject_reasons").alias("reason"))
+
+
+def q_load_skip_header_blank(spark, sf):
+    """Files whose first line is blank, and blank lines inside: exactly line 1 of each file goes."""
+    def build():
+        li = _li(spark, sf).select(F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("value"), "l_orderkey", "l_linenumber")
+        li = li.repartition(3, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+        blank = li.select(F.posexplode(F.when((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1), F.array("value", F.lit(""))).otherwise(F.array("value"))).alias("pos", "value"))
+        return blank.select("value")
+    path = fx.cached_export(spark, "lineitem-blank", sf, build)
+    body = read_lines(spark, path)
+    # put one line before each file's first: a blank one, by reading the export as lines of new files
+    files = scratch_path(spark, "blank-first")
+    body.groupBy("source_file").agg(F.concat(F.lit("\n"), F.concat_ws("\n", F.collect_list("value"))).alias("value")).select("value").repartition(3).write.option("lineSep", "\n").text(files)
+    lines = read_lines(spark, files, header=True)
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_daily_late_ignore(spark, sf):
     hourly, daily = _targets(spark)
     _load(spark, sf, hourly, daily, part=0)
@@ -367,7 +452,7 @@ def q_incremental_daily(spark, sf):
     for part in (0, 1):
         pair = (fx.export_feed(spark, sf, "counter", part), fx.export_feed(spark, sf, "qual", part))
         write_manifest(spark, manifests, [pair], part)
-    run_incremental(spark, manifests, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
+    run_incremental(spark, manifests, checkpoint=scratch_path(spark, "stream"), counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
                     hourly_path=hourly, daily_path=daily)
     return _daily(spark, daily)
 
@@ -404,6 +489,13 @@ QUERIES = {
     "full_load_hourly": q_full_load_hourly,
     "full_load_daily": q_full_load_daily,
     "replay_idempotent": q_replay_idempotent,
+    "replay_daily": q_replay_daily,
+    "recompute_keeps_other_days": q_recompute_keeps_other_days,
+    "full_load_empty_qual": q_full_load_empty_qual,
+    "time_bucket_odd_widths": q_time_bucket_odd_widths,
+    "time_bucket_nulls": q_time_bucket_nulls,
+    "cast_strict_forms": q_cast_strict_forms,
+    "load_skip_header_blank": q_load_skip_header_blank,
     "daily_late_ignore": q_daily_late_ignore,
     "daily_late_recompute": q_daily_late_recompute,
     "incremental_daily": q_incremental_daily,
@@ -463,6 +555,20 @@ def _late_ignore_sql():
             "WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.date = d2.date AND d1.unique_id = d2.unique_id)")
 
 
+def _keeps_sql():
+    """First three dates: part 0 and what part 1 adds of keys that part 0 lacks; later dates: both parts."""
+    first = "(SELECT min(CAST(ts AS DATE)) FROM events WHERE hour(ts) >= 12) + 2"
+    early = f"(SELECT * FROM {fx.sql_daily(fx.sql_lastday(fx.sql_half(0)))})"
+    late = f"(SELECT * FROM {fx.sql_daily(fx.sql_lastday(fx.sql_half(1)))} WHERE date <= {first})"
+    both = (f"(SELECT * FROM {fx.sql_lastday(fx.sql_half(0))} UNION ALL "
+            f"SELECT * FROM {fx.sql_lastday(fx.sql_half(1))})")
+    touched = f"(SELECT DISTINCT CAST(resulttime AS DATE) FROM {fx.sql_lastday(fx.sql_half(1))} WHERE CAST(resulttime AS DATE) > {first})"
+    return (f"WITH d1 AS {early}, d2 AS {late}, b AS {fx.sql_daily(both)} "
+            f"SELECT * FROM b WHERE date IN {touched} "
+            f"UNION ALL SELECT * FROM d1 WHERE date NOT IN {touched} "
+            "UNION ALL SELECT * FROM d2 WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.date = d2.date AND d1.unique_id = d2.unique_id)")
+
+
 def _late_recompute_sql():
     both = (f"(SELECT * FROM {fx.sql_lastday(fx.sql_half(0))} UNION ALL "
             f"SELECT * FROM {fx.sql_lastday(fx.sql_half(1))})")
@@ -533,6 +639,20 @@ ORACLES = {
     "wide_rollup": _wide_sql(),
     "full_load_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "full_load_daily": f"SELECT * FROM {fx.sql_daily(fx.sql_lastday())}",
+    "replay_daily": f"SELECT * FROM {fx.sql_daily(fx.sql_lastday())}",
+    "recompute_keeps_other_days": _keeps_sql(),
+    "full_load_empty_qual": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
+    "time_bucket_odd_widths": "SELECT event_id, " + ", ".join(
+        f"time_bucket(INTERVAL '{w}', ts) AS {n}" for n, w in ODD_WIDTHS.items()) + " FROM events",
+    "time_bucket_nulls": ("SELECT time_bucket(INTERVAL '6 hours', CASE WHEN event_type <> 'error' THEN ts END) AS bucket, "
+                          "count(*) AS n_events FROM events GROUP BY 1"),
+    "cast_strict_forms": (
+        "SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('month', ts) END AS ts, "
+        "CASE event_type WHEN 'click' THEN NULL WHEN 'view' THEN event_id + 0.5::DOUBLE ELSE event_id::DOUBLE END AS value, "
+        "CASE event_type WHEN 'error' THEN 'cast:ts' WHEN 'click' THEN 'cast:value' ELSE '' END AS reason FROM events"),
+    "load_skip_header_blank": (
+        "SELECT l_orderkey || ',' || l_linenumber AS value, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL "
+        "SELECT '', count(*) FROM lineitem WHERE l_orderkey % 7 = 0 AND l_linenumber = 1 HAVING count(*) > 0"),
     "replay_idempotent": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "daily_late_ignore": _late_ignore_sql(),
     "daily_late_recompute": _late_recompute_sql(),

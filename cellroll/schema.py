@@ -7,8 +7,8 @@ Nothing is inferred from the file; binding is positional in the file and by
 name in the table.
 
 Metric columns are never listed in code: they are every non-key column of a
-table (``metrics_of``) or are supplied by the caller.  For synthetic
-full-width feeds, ``family_metric_names`` builds names from family sizes.
+table (``metrics_of``) or are supplied by the caller; ``metric_names`` makes
+names for synthetic feeds.
 """
 
 from __future__ import annotations
@@ -48,17 +48,6 @@ CELL_KEY_TYPES = {
     "ci": "int",
 }
 
-# Metric family sizes of the two feeds of a 2G export
-# (counter feed 291 metrics, quality feed 88).  Used only to generate a
-# synthetic feed of the real width.
-COUNTER_FAMILIES = (
-    ("a", 76), ("m", 54), ("l", 54), ("k", 20), ("ch", 17), ("cm", 15),
-    ("ar", 13), ("r", 12), ("h", 9), ("tl", 8), ("ca", 5), ("payload", 4),
-    ("rr", 2), ("th", 2),
-)
-QUAL_FAMILIES = (("s", 42), ("cs", 32), ("as", 10), ("cr", 2), ("r", 2))
-
-
 def spark_type(type_name: str) -> T.DataType:
     if type_name.startswith("char("):
         return T.StringType()
@@ -129,9 +118,6 @@ class FeedSpec:
         derived = {self.cell_key.name} if self.cell_key else set()
         return tuple(n for n in self.column_names if n not in derived)
 
-    def type_of(self, name: str) -> str:
-        return dict(self.columns)[name]
-
     def with_options(self, **kw) -> "FeedSpec":
         return replace(self, **kw)
 
@@ -181,6 +167,6 @@ def metrics_of(df: DataFrame, keys=HOURLY_KEYS) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def family_metric_names(families, prefix: str = "") -> list[str]:
-    """Generate metric names ``<prefix><family><nnn>`` from family sizes."""
-    return [f"{prefix}{fam}{i:03d}" for fam, n in families for i in range(n)]
+def metric_names(n: int, prefix: str = "m") -> list[str]:
+    """Names for the metrics of a synthetic feed: m000, m001, ..."""
+    return [f"{prefix}{i:03d}" for i in range(n)]

@@ -87,6 +87,8 @@ def scratch_root(spark: SparkSession) -> str:
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
+    elif not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all machines share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellroll-ckpt-"))
     return sc.getCheckpointDir()

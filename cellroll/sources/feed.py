@@ -97,6 +97,12 @@ def observe_totals(parsed: DataFrame) -> tuple[DataFrame, Observation]:
     return out, obs
 
 
+def stop_at_bad(parsed: DataFrame) -> DataFrame:
+    """The rows; a bad one fails the job with its reasons and its line."""
+    message = F.concat(F.lit("bad line ["), F.col(REJECT_COL), F.lit("]: "), F.col(LINE_COL))
+    return parsed.filter(F.when(is_bad(), F.raise_error(message)).isNull())
+
+
 def split_rejects(parsed: DataFrame, spec: FeedSpec, on_error: str = "raise") -> Feed:
     """Good rows and reject rows of a parsed feed.
 
@@ -111,11 +117,7 @@ def split_rejects(parsed: DataFrame, spec: FeedSpec, on_error: str = "raise") ->
     extra = [c for c in parsed.columns if c not in (*spec.column_names, REJECT_COL, LINE_COL)]
     rejects = parsed.filter(bad).select(*extra, LINE_COL, REJECT_COL)
     if on_error == "raise":
-        fail = F.when(
-            bad,
-            F.raise_error(F.concat(F.lit("bad line ["), F.col(REJECT_COL), F.lit("]: "), F.col(LINE_COL))),
-        )
-        rows = parsed.filter(fail.isNull())
+        rows = stop_at_bad(parsed)
     else:
         rows = parsed.filter(~bad)
     return Feed(rows.select(*spec.column_names), rejects, obs)

@@ -13,39 +13,25 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip_cr
 
-# A separator that never occurs in the text: the one-column CSV reader is
-# used only to drop header lines, never to split fields.  FAILFAST makes a
-# line containing it fail loudly instead of losing text.
-_NO_SEP = "\u0000\u001f\u001e"
-
-
 def read_lines(spark: SparkSession, paths, *, header: bool = False, line_sep: str = "\n") -> DataFrame:
     """Read newline-separated records as DataFrame[value: string, source_file: string].
 
-    header=False: every line is kept, blank lines too (a blank line is a
-    record, and fails the arity check later).
-    header=True: the first line of every file is dropped (blank lines are
-    skipped by this reader).
+    Every line is kept, blank lines too (a blank line is a record, and fails
+    the arity check later).  header=True: exactly the first line of every
+    file is dropped, blank or not, however the file is split.
     With ``line_sep='\\n'`` a trailing '\\r' is removed, so CRLF files load;
     a lone '\\r' inside a line is data.
     """
     if isinstance(paths, str):
         paths = [paths]
+    df = spark.read.format("text").option("lineSep", line_sep).load(paths)
+    file = F.col("_metadata.file_path").alias("source_file")
     if header:
-        reader = (
-            spark.read.format("csv")
-            .schema("value string")
-            .option("header", True)
-            .option("sep", _NO_SEP)
-            .option("quote", "")
-            .option("escape", "")
-            .option("lineSep", line_sep)
-            .option("mode", "FAILFAST")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-        )
-    else:
-        reader = spark.read.format("text").option("lineSep", line_sep)
-    df = reader.load(paths)
+        # line 1 of a file is the first row of its first block.  Rows are numbered in reading order; nothing is
+        # filtered before the numbers are compared, so both readings of the files are cut the same way
+        df = df.select("value", file, F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+        first = df.groupBy("source_file").agg(F.min(F.when(F.col("_block") == 0, F.col("_row"))).alias("_row")).select("_row")
+        df = df.join(first, "_row", "left_anti")
+        file = F.col("source_file")
     value = strip_cr("value") if line_sep == "\n" else F.col("value")
-    return df.select(value.alias("value"), F.col("_metadata.file_path").alias("source_file"))
+    return df.select(value.alias("value"), file)

@@ -9,8 +9,9 @@ micro-batch runs ``run_load`` on the pairs it brings.
 * ``foreachBatch`` is at-least-once; publication is insert-if-absent, so a
   batch replayed after a failure changes nothing.
 * ``maxFilesPerTrigger`` bounds how many manifests one load takes; with 1,
-  loads happen in manifest order (file modification time), which fixes
-  which load wins a daily row in ``mode='ignore'``.
+  loads happen in the order of file modification times; within one
+  micro-batch in the order of file names.  That fixes which load wins a
+  daily row in ``mode='ignore'``.
 * ``availableNow`` processes what is there and stops (scheduled runs);
   without it the query keeps running and picks up new manifests.
 """
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 
 from ..plans.full_load import run_load
 from ..schema import FeedSpec
-from ..session import scratch_path
 
 
 def write_manifest(spark: SparkSession, folder: str, pairs, seq: int) -> str:
@@ -46,33 +46,42 @@ def write_manifest(spark: SparkSession, folder: str, pairs, seq: int) -> str:
     return str(path)
 
 
+MAX_PAIRS = 10_000  # manifest lines that one micro-batch may bring
+
+
 def _pairs(batch: DataFrame):
-    # manifest lines name files; there are a handful per micro-batch
+    """(counter file, qual file) of each line, in the order of the manifests and their lines."""
     parts = F.split(F.col("value"), "\t")
-    rows = batch.filter(F.length("value") > 0).select(parts[0].alias("c"), parts[1].alias("q")).collect()
-    return [r.c for r in rows], [r.q for r in rows]
+    lines = batch.filter(F.length("value") > 0).select(F.col("file"), F.monotonically_increasing_id().alias("row"), parts[0].alias("c"), parts[1].alias("q"))
+    rows = lines.limit(MAX_PAIRS + 1).collect()
+    if len(rows) > MAX_PAIRS:
+        raise ValueError(f"a micro-batch holds more than {MAX_PAIRS} pairs; lower max_files_per_trigger")
+    return [(r.c, r.q) for r in sorted(rows, key=lambda r: (r.file, r.row))]
 
 
 def run_incremental(spark: SparkSession, manifest_dir: str, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
                     hourly_path: str, daily_path: str, mode: str = "ignore", on_error: str = "raise",
-                    checkpoint: str | None = None, max_files_per_trigger: int = 1,
-                    available_now: bool = True, reports: list | None = None):
-    """Start (and with ``available_now``, finish) the incremental load stream."""
-    checkpoint = checkpoint or scratch_path(spark, "streams", "incremental")
+                    checkpoint: str, max_files_per_trigger: int = 1,
+                    available_now: bool = True, reports: list | None = None, cleanup: bool = True):
+    """Start (and with ``available_now``, finish) the incremental load stream.
+
+    ``checkpoint`` is the stream's own folder on shared storage; a restart
+    with the same one goes on after the manifests it has loaded.  Each pair
+    is a load of its own, in manifest order.
+    """
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        counter_paths, qual_paths = _pairs(batch)
-        if not counter_paths:
-            return
-        rep = run_load(batch.sparkSession, counter_paths, qual_paths, counter_spec=counter_spec,
-                       qual_spec=qual_spec, hourly_path=hourly_path, daily_path=daily_path,
-                       mode=mode, on_error=on_error)
-        if reports is not None:
-            reports.append((epoch_id, rep))
+        for counter_path, qual_path in _pairs(batch):
+            rep = run_load(batch.sparkSession, counter_path, qual_path, counter_spec=counter_spec,
+                           qual_spec=qual_spec, hourly_path=hourly_path, daily_path=daily_path,
+                           mode=mode, on_error=on_error, cleanup=cleanup)
+            if reports is not None:
+                reports.append((epoch_id, rep))
 
     stream = (spark.readStream.format("text")
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .load(manifest_dir))
+              .load(manifest_dir)
+              .select("value", F.col("_metadata.file_path").alias("file")))
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     query = writer.start()

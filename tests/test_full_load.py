@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from cellroll.plans.full_load import LoadError, run_load
-from cellroll.schema import COUNTER_FAMILIES, QUAL_FAMILIES, cell_feed_spec, family_metric_names
+from cellroll.schema import cell_feed_spec, metric_names
 
 from conftest import write_text
 
@@ -15,7 +15,7 @@ QSPEC = cell_feed_spec(["q1"])
 
 def _feed(tmp, name, hours_values, cell="CELL A", day="2018-08-01"):
     lines = [f"{day} {h:02d}:00:00,MBSC1,{cell},7,12,345,{v}" for h, v in hours_values]
-    return write_text(f"{tmp}/{name}", lines)
+    return write_text(f"{tmp}/{name}", lines, end=bool(lines))
 
 
 def _load(spark, tmp, run, counter, qual, mode="ignore", on_error="raise"):
@@ -79,8 +79,8 @@ def test_renamed_cell_keeps_one_daily_row(spark, tmp_dir):
 
 
 def test_full_width_feed(spark, tmp_dir):
-    cm = family_metric_names(COUNTER_FAMILIES)
-    qm = family_metric_names(QUAL_FAMILIES, "q")
+    cm = metric_names(291)
+    qm = metric_names(88, "q")
     assert len(cm) == 291 and len(qm) == 88
     keys = "MBSC1,CELL A,7,12,345"
     c = write_text(f"{tmp_dir}/c.csv", [f"2018-08-01 0{h}:00:00,{keys}," + ",".join(str(h + j) for j in range(291))
@@ -121,3 +121,64 @@ def test_rerun_after_crash_between_hourly_and_daily(spark, tmp_dir):
     assert rep.hourly_appended == 0 and rep.daily_appended == 1
     assert [h[:2] for h in _hourly(spark, tmp_dir)] == [(0, 1.0), (1, 2.0)]
     assert _daily(spark, tmp_dir) == [(dt.date(2018, 8, 1), 3.0, 0.0)]
+
+
+def test_empty_feeds_load_as_empty(spark, tmp_dir):
+    for counter, qual in (([], [(0, 1)]), ([(0, 1)], []), ([], [])):
+        for mode in ("ignore", "recompute"):
+            rep = _load(spark, f"{tmp_dir}/{len(counter)}{len(qual)}{mode}", "r1", counter, qual, mode)
+            assert (rep.joined, rep.hourly_appended, rep.daily_appended) == (0, 0, 0)
+    rep = _load(spark, f"{tmp_dir}/10ignore", "r2", [(0, 1)], [(0, 1)])
+    assert rep.hourly_appended == 1
+
+
+@pytest.mark.parametrize("days", [1, 2, 400])
+def test_recompute_leaves_other_days(spark, tmp_dir, days):
+    def lines(name, rows):
+        return write_text(f"{tmp_dir}/{name}.csv", [f"{d} {h:02d}:00:00,MBSC1,CELL A,7,12,345,{v}" for d, h, v in rows])
+
+    kw = dict(counter_spec=CSPEC, qual_spec=QSPEC, hourly_path=f"{tmp_dir}/hourly", daily_path=f"{tmp_dir}/daily")
+    frozen = dt.date(2018, 8, 3)
+    # published with one hour, then another hour reaches hourly only
+    run_load(spark, lines("c0", [(frozen, 0, 1)]), lines("q0", [(frozen, 0, 0)]), **kw)
+    run_load(spark, lines("c1", [(frozen, 1, 5)]), lines("q1", [(frozen, 1, 0)]), **kw)
+    # the load spans dates on both sides of the frozen one
+    touched = [dt.date(2018, 8, 1) + dt.timedelta(days=i) for i in range(days + 1)]
+    touched = [d for d in touched if d != frozen][:days]
+    if days == 2:
+        touched = [dt.date(2018, 8, 1), dt.date(2018, 8, 9)]
+    rows = [(d, 2, 7) for d in touched]
+    rep = run_load(spark, lines("c2", rows), lines("q2", rows), mode="recompute", **kw)
+    got = {r.date: r.m1 for r in spark.read.parquet(f"{tmp_dir}/daily").collect()}
+    assert got == {frozen: 1.0, **{d: 7.0 for d in touched}} and rep.recomputed == days
+
+
+def test_staging_is_removed_also_after_a_failure(spark, tmp_dir):
+    import os
+
+    from cellroll.plans.full_load import audit, reject_rows
+
+    c, q = _feed(tmp_dir, "c.csv", [(0, 1), (0, 2)]), _feed(tmp_dir, "q.csv", [(0, 1)])
+    kw = dict(counter_spec=CSPEC, qual_spec=QSPEC, hourly_path=f"{tmp_dir}/hourly", daily_path=f"{tmp_dir}/daily", work=f"{tmp_dir}/work")
+    with pytest.raises(LoadError):
+        run_load(spark, c, q, **kw)
+    assert not os.path.exists(f"{tmp_dir}/work")
+    rep = run_load(spark, c, q, on_error="reject", cleanup=False, **kw)
+    assert rep.counter_duplicates == 2 and audit(spark, rep.work, CSPEC, QSPEC).count() == 1
+    assert reject_rows(spark, f"{rep.work}/counter", CSPEC).count() == 0
+
+
+def test_catalog_tables_as_targets(spark, tmp_dir):
+    names = {"hourly_path": "load_hourly", "daily_path": "load_daily"}
+    for t in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    try:
+        for run in range(2):
+            rep = run_load(spark, _feed(tmp_dir, "c.csv", [(0, 1), (1, 2)]), _feed(tmp_dir, "q.csv", [(0, 1), (1, 1)]), counter_spec=CSPEC, qual_spec=QSPEC, **names)
+            assert rep.hourly_appended == (2, 0)[run]
+        assert spark.table("load_hourly").count() == 2 and spark.table("load_daily").first().m1 == 3.0
+        run_load(spark, _feed(tmp_dir, "c2.csv", [(2, 4)]), _feed(tmp_dir, "q2.csv", [(2, 1)]), counter_spec=CSPEC, qual_spec=QSPEC, mode="recompute", **names)
+        assert spark.table("load_daily").first().m1 == 7.0
+    finally:
+        for t in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")

@@ -37,3 +37,23 @@ def test_cluster_conf_scales_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
     assert c["spark.sql.codegen.hugeMethodLimit"] == "8000"
+
+
+def test_time_bucket_null_rows_and_odd_widths(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from cellroll.functions.time import time_bucket
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 3), 1), (None, 2), (dt.datetime(1999, 12, 31, 23, 59, 59, 999999), 3)], "ts timestamp_ntz, k int")
+    rows = df.select("k", time_bucket("ts", "7 hours").alias("a"), time_bucket("ts", "5 hours").alias("b"), time_bucket("ts", "11 minutes").alias("c")).orderBy("k").collect()
+    assert tuple(rows[0])[1:] == (dt.datetime(2024, 1, 1), dt.datetime(2023, 12, 31, 23), dt.datetime(2024, 1, 1, 2, 53))
+    assert tuple(rows[1])[1:] == (None, None, None)
+    con = __import__("duckdb").connect()
+    for w in ("7 minutes", "5 hours", "7 hours", "36 hours", "7 days", "1 second"):
+        want = con.execute(f"SELECT time_bucket(INTERVAL '{w}', TIMESTAMP '1999-12-31 23:59:59.999999')").fetchone() if hasattr(con, "fetchone") else con.execute(f"SELECT time_bucket(INTERVAL '{w}', TIMESTAMP '1999-12-31 23:59:59.999999')").fetchall()[0]
+        got = df.where("k = 3").select(time_bucket("ts", w)).first()
+        assert got[0] == want[0], w
+    assert df.select(time_bucket("ts", "1 hour").alias("b")).schema["b"].dataType.simpleString() == "timestamp_ntz"
+    assert df.where(F.col("k") == 2).count() == 1

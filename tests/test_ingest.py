@@ -124,3 +124,35 @@ def test_folder_with_empty_file_and_markers(spark, tmp_dir):
     write_text(f"{tmp_dir}/in/.part-0.csv.crc", ["junk"])
     rows = load_feed(spark, f"{tmp_dir}/in", SPEC).rows.collect()
     assert sorted(r["unique_id"] for r in rows) == [12045, 12345]
+
+
+def test_exactly_line_one_goes(spark, tmp_dir):
+    import os
+
+    from cellroll.sources.lines import read_lines
+
+    os.makedirs(f"{tmp_dir}/in")
+    write_text(f"{tmp_dir}/in/a.csv", ["", "a1", "", "a2"])  # line 1 is blank
+    write_text(f"{tmp_dir}/in/b.csv", ["head", "b1"])
+    write_text(f"{tmp_dir}/in/c.csv", ["only"])
+    write_text(f"{tmp_dir}/in/d.csv", ["head", *[f"d{i:05d}" for i in range(5000)]])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("4096", old):  # one file in many splits; many files in one task
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = sorted(r.value for r in read_lines(spark, f"{tmp_dir}/in", header=True).collect())
+            assert got == sorted(["a1", "", "a2", "b1", *[f"d{i:05d}" for i in range(5000)]])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_strict_value_forms(spark):
+    from pyspark.sql import functions as F
+
+    from cellroll.functions.casting import typed_value
+
+    texts = ["1d", "2.5f", "0x1p3", "1", "-2.5e3", ".5", "5.", " 7 ", "NaN", "-Infinity", "", "2018", "2018-08", "2018-08-01", "2018-08-01 10:00:00", "2018-08-01T10:00", "1e"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.d is not None, r.ts is not None) for r in df.select("t", typed_value(F.col("t"), "double").alias("d"), typed_value(F.col("t"), "timestamp").alias("ts")).collect()}
+    assert {t for t in texts if got[t][0]} == {"1", "-2.5e3", ".5", "5.", " 7 ", "NaN", "-Infinity", "2018"}
+    assert {t for t in texts if got[t][1]} == {"2018-08-01", "2018-08-01 10:00:00", "2018-08-01T10:00"}

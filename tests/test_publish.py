@@ -52,23 +52,85 @@ def test_anti_join_reads_only_touched_dates(spark, tmp_dir):
     df = spark.createDataFrame([(d1, 1, 1.0), (dt.date(2018, 8, 2), 1, 1.0)], "date date, k int, v double")
     df.write.partitionBy("date").parquet(f"{tmp_dir}/t")
     target = spark.read.parquet(f"{tmp_dir}/t")
-    plan = _plan(restrict_to(target, [d1]).select("k"))
+    plan = _plan(restrict_to(target, d1, d1).select("k"))
     assert "PartitionFilters: [isnotnull(date" in plan and "2018-08-01" in plan
 
 
-def test_drop_existing_decides_on_keys(spark):
-    from cellroll.operators.publish import drop_existing
+def test_keys_decide_and_a_replay_moves_no_wide_rows(spark, tmp_dir):
+    from cellroll.operators import publish
 
-    new = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0)], "k int, v double")
-    none = spark.createDataFrame([(9,)], "k int")
-    rows, n = drop_existing(new, none, ["k"])
-    assert n == 0 and rows.count() == 3
-    some = spark.createDataFrame([(2,), (3,), (3,)], "k int")
-    rows, n = drop_existing(new, some, ["k"])
-    assert n == 2 and [r.k for r in rows.collect()] == [1]
-    assert "BroadcastHashJoin" in _plan(rows) or "BroadcastNestedLoopJoin" not in _plan(rows)
-    rows, n = drop_existing(new, some, ["k"], broadcast_keys=1)
-    assert n == 2 and [r.k for r in rows.collect()] == [1]
+    d = dt.date(2018, 8, 1)
+    new = spark.createDataFrame([(d, 1, 1.0), (d, 2, 2.0), (d, 3, 3.0)], "date date, k int, v double")
+    fresh, n, there = publish.new_keys(new, spark.createDataFrame([(d, 9)], "date date, k int"), ["date", "k"])
+    assert (n, there) == (3, 0)
+    fresh, n, there = publish.new_keys(new, spark.createDataFrame([(d, 2), (d, 3), (d, 3)], "date date, k int"), ["date", "k"])
+    assert (n, there) == (1, 2) and [r.k for r in fresh.collect()] == [1]
+    path = f"{tmp_dir}/t"
+    insert_ignore_into(spark, new, path, ["date", "k"])
+    import os
+    before = sorted(x for _, _, f in os.walk(path) for x in f)
+    assert insert_ignore_into(spark, new, path, ["date", "k"]) == {"appended": 0, "existing_keys": 3}
+    assert sorted(x for _, _, f in os.walk(path) for x in f) == before
+
+
+def test_other_columns_are_refused_before_anything_is_written(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from cellroll.sinks.tables import SchemaMismatch, append_partitioned, overwrite_partitions
+
+    d = dt.date(2018, 8, 1)
+    path = f"{tmp_dir}/t"
+    insert_ignore_into(spark, spark.createDataFrame([(d, 1, 1.0)], "date date, k int, v double"), path, ["date", "k"])
+    before = sorted(x for _, _, f in os.walk(path) for x in f)
+    for bad in ("date date, k int, v double, m2 double", "date date, k bigint, v double", "date date, k int"):
+        row = (d, 5, 5.0, 6.0)[: bad.count(",") + 1]
+        df = spark.createDataFrame([row], bad)
+        for write in (lambda: insert_ignore_into(spark, df, path, ["date", "k"]), lambda: append_partitioned(df, path), lambda: overwrite_partitions(df, path)):
+            with pytest.raises(SchemaMismatch):
+                write()
+    assert sorted(x for _, _, f in os.walk(path) for x in f) == before
+
+
+def test_files_follow_the_data_not_tasks_times_dates(spark, tmp_dir):
+    import glob
+
+    from cellroll.sinks.tables import append_partitioned
+
+    df = spark.range(16_000).selectExpr("date_add(date'2018-01-01', cast(id % 30 as int)) as date", "cast(id as int) as k").repartition(16)
+    append_partitioned(df, f"{tmp_dir}/t")
+    assert 30 <= len(glob.glob(f"{tmp_dir}/t/date=*/*.parquet")) <= 60
+    # one date holds nearly all rows: its partition is split
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "64k")
+        hot = spark.range(200_000).selectExpr("date_add(date'2018-01-01', cast(if(id % 50 = 0, id % 30, 3) as int)) as date", "id as k", "rand(1) as v").repartition(16)
+        append_partitioned(hot, f"{tmp_dir}/h")
+        assert len(glob.glob(f"{tmp_dir}/h/date=2018-01-04/*.parquet")) >= 4
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_catalog_targets(spark):
+    from cellroll.sinks.tables import overwrite_partitions, read_table
+
+    d1, d2 = dt.date(2018, 8, 1), dt.date(2018, 8, 2)
+    name = "publish_target"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.createDataFrame([(1, d1, 1.0), (2, d2, 2.0)], "k int, date date, v double")
+    try:
+        assert read_table(spark, name) is None
+        assert insert_ignore_into(spark, df, name, ["date", "k"])["appended"] == 2
+        more = spark.createDataFrame([(9.0, 2, d2), (3.0, 3, d2)], "v double, k int, date date")
+        assert insert_ignore_into(spark, more, name, ["date", "k"])["appended"] == 1
+        overwrite_partitions(spark.createDataFrame([(7, d1, 7.0)], "k int, date date, v double"), name)
+        assert sorted((r.k, r.v) for r in spark.table(name).collect()) == [(2, 2.0), (3, 3.0), (7, 7.0)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def test_read_recent_prunes_dates(spark, tmp_dir):

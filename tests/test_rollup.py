@@ -69,3 +69,21 @@ def test_bucket_rollup_quarter_hours(spark):
     df = spark.createDataFrame(rows, "resulttime timestamp_ntz, unique_id int, m1 double")
     got = sorted((r.bucket.minute, r.m1) for r in bucket_rollup(df, "15 minutes", ["unique_id"], ["m1"]).collect())
     assert got == [(0, 0.0 + 5 + 10), (15, 15.0 + 20 + 25), (30, 30.0 + 35 + 40), (45, 45.0 + 50 + 55)]
+
+
+def test_passes_with_null_keys_add_no_exchange(spark):
+    base = spark.range(100).select(F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("g"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("h"),
+                                   *[(F.col("id") * j).cast("double").alias(f"m{j}") for j in range(8)])
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = sum_metrics(base, ["g", "h"], [f"m{j}" for j in range(8)], per_pass=2)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 4 and plan.count("SortMergeJoin") == 3
+        one = sum_metrics(base, ["g", "h"], [f"m{j}" for j in range(8)], per_pass=None)
+        assert _rows(df) == _rows(one)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
