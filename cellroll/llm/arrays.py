@@ -13,7 +13,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd: it has an inverse modulo 2**64
 _INV = pow(_BASE, -1, 1 << 64)
@@ -209,7 +209,7 @@ def ramp(size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
 
 
-def text_groups(batches, text_col: str = "text", limit: int = 2 * BLOCK_BYTES):
+def text_groups(batches, text_col: str = "text", limit: int = 4 * BLOCK_BYTES):
     """(record batch slice, list of UTF-8 texts) of about ``limit`` bytes each; NULL text is empty."""
     for batch in batches:
         column = batch.column(text_col)
