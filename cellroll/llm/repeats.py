@@ -21,10 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BLOCK_BYTES, BYTE_VALUE, Rolling, blocks, mix, ramp, winnow
+from .arrays import BYTE_VALUE, Rolling, blocks, mix, ramp, winnow
 from .tables import saved
 
-CLASS_ROWS = 50_000  # contexts of a class that one task compares; larger classes are compared by shuffled windows
+CLASS_BYTES = 48 << 20  # contexts of a class that one task compares; larger classes are compared by shuffled windows
+_STEP = 0xC2B2AE3D27D4EB4F  # base of the window hashes
 
 
 def table(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
@@ -47,13 +48,13 @@ def changes(columns: list[np.ndarray], before: tuple | None) -> np.ndarray:
     return new
 
 
-def shared_groups(batches, keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+def shared_groups(rows: Iterator[dict[str, np.ndarray]], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
     """Rows (sorted by ``keys``) of groups that have at least two rows, with a group number ``rank``.
 
-    One row is held back between batches, whatever the groups' sizes.
+    One row is held back between batches, whatever the groups' sizes; the rows keep their order.
     """
     held, count, number = None, 0, 0
-    for t in table(batches):
+    for t in rows:
         if held is not None:
             t = {k: np.concatenate([held[k], t[k]]) for k in t}
         n = len(t[keys[0]])
@@ -63,12 +64,13 @@ def shared_groups(batches, keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
         again[:-1] = ~new[1:]
         inside = ~new | again
         inside[0] |= count > 0
-        t["rank"] = number + np.cumsum(new) - 1
-        number = int(t["rank"][-1])
+        rank = number + np.cumsum(new) - 1
+        number = int(rank[-1])
         size = n - int(np.flatnonzero(new)[-1])
         count = size - 1 + (count if size == n else 0)
         last = slice(n - 1, n)
-        held = {k: v[last] for k, v in t.items() if k != "rank"}
+        held = {k: v[last] for k, v in t.items()}
+        t = t | {"rank": rank}
         # the last row waits: a later batch may bring its group's next row
         inside[n - 1] = False
         if inside.any():
@@ -77,8 +79,8 @@ def shared_groups(batches, keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
         yield {**held, "rank": np.array([number])}
 
 
-def first_of_contexts(batches, later_only: bool) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (rank, c, d, p, left, right) to rows (kind, rank, d, p, left, right).
+def first_of_contexts(rows: Iterator[dict[str, np.ndarray]], later_only: bool) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted rows (rank, c, d, p, left, right, more) to rows (kind, rank, d, p, left, right).
 
     kind 0: all windows of the row's context are repeated (with ``later_only``: also stand earlier).
     kind 1: one row of each context of a class that has several contexts, to be compared.
@@ -86,9 +88,8 @@ def first_of_contexts(batches, later_only: bool) -> Iterator[pa.RecordBatch]:
     names = ["rank", "c", "d", "p", "left", "right", "more"]
     held: dict[str, np.ndarray] | None = None  # first row of the last context
     several = False  # the held row's class had a context before it
-    for t in table(batches):
-        if held is not None:
-            t = {k: np.concatenate([held[k], t[k]]) for k in names}
+    for t in rows:
+        t = {k: t[k] for k in names} if held is None else {k: np.concatenate([held[k], t[k]]) for k in names}
         new = changes([t["rank"], t["c"]], None)
         at = np.flatnonzero(new)
         rank = t["rank"][at]
@@ -101,9 +102,8 @@ def first_of_contexts(batches, later_only: bool) -> Iterator[pa.RecordBatch]:
         if not later_only:  # a context's first row is repeated too, if it has another one
             size = np.diff(np.concatenate([at, [len(new)]]))
             whole[at] = (size > 1) | t["more"][at]
-        if held is not None:
-            t["more"][0] = held["more"][0]
-        yield from _rows(0, t, np.flatnonzero(whole[:]) if later_only else np.flatnonzero(whole & ~_last(at, len(new))))
+        whole[at[-1]] = False  # the last context's first row waits
+        yield from _rows(0, t, np.flatnonzero(whole))
         yield from _rows(1, t, at[:-1][multi[:-1]])
         several = bool(len(at) > 1 and same[-1]) or (len(at) == 1 and several)
         k = at[-1]
@@ -118,16 +118,9 @@ def first_of_contexts(batches, later_only: bool) -> Iterator[pa.RecordBatch]:
             yield from _rows(1, held, np.array([0]))
 
 
-def _last(at: np.ndarray, n: int) -> np.ndarray:
-    """Marks the first row of the last context, which is held back."""
-    out = np.zeros(n, dtype=bool)
-    out[at[-1]] = True
-    return out
-
-
-def _rows(kind: int, t: dict[str, np.ndarray], at: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _rows(kind: int, t: dict[str, np.ndarray], at: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
     if len(at):
-        yield batch(kind=np.full(len(at), kind, np.int32), rank=t["rank"][at].astype(np.int64), d=t["d"][at], p=t["p"][at], left=t["left"][at], right=t["right"][at])
+        yield dict(kind=np.full(len(at), kind, np.int32), rank=t["rank"][at].astype(np.int64), d=t["d"][at], p=t["p"][at], left=t["left"][at], right=t["right"][at])
 
 
 def extents(values: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray, reach: int, length: int, later_only: bool, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,19 +132,22 @@ def extents(values: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.nd
     """
     n = len(left)
     low, high = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
-    width = values.shape[1]
-    roll = Rolling(values.ravel())
-    base = np.arange(n) * width + reach - 1
+    lift = BYTE_VALUE.__getitem__ if values.dtype == np.uint8 else np.asarray
+    # hash of the window at offset o, moved one unit to the left at a time
+    base, top = np.uint64(_STEP), np.uint64(pow(_STEP, length - 1, 1 << 64))
+    window = np.zeros(n, dtype=np.uint64)
+    for i in range(reach - 1 + length - 1, reach - 2, -1):
+        window = window * base + lift(values[:, i])
     own = mix(rank.astype(np.uint64) + np.uint64(1))
     for o in range(reach):
+        if o:
+            at = reach - 1 - o
+            window = (window - lift(values[:, at + length]) * top) * base + lift(values[:, at])
         rows = np.flatnonzero((left >= o) & (right >= length - o))
         if len(rows) < 2:
             continue
-        key = roll.of(base[rows] - o, base[rows] - o + length) ^ own[rows]
-        if later_only:
-            s = np.lexsort((order[rows], key))
-        else:
-            s = np.argsort(key, kind="stable")
+        key = mix(window[rows]) ^ own[rows]
+        s = np.lexsort((order[rows], key)) if later_only else np.argsort(key, kind="stable")
         same = key[s][1:] == key[s][:-1]
         hit = np.zeros(len(rows), dtype=bool)
         hit[s[1:]] = same
@@ -163,7 +159,7 @@ def extents(values: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.nd
     return low, high
 
 
-def whole_classes(batches, names: list[str], most: int = 20_000) -> Iterator[dict[str, np.ndarray]]:
+def whole_classes(batches, names: list[str], most: int = 8_000) -> Iterator[dict[str, np.ndarray]]:
     """Rows sorted by ``rank`` in runs of whole classes, about ``most`` rows at a time."""
     held: list[dict[str, np.ndarray]] = []
     for t in table(batches):
@@ -214,7 +210,7 @@ class Repeats:
 
         def run(batches):
             for rb in batches:
-                for first, end, data, off in blocks(rb.column("text"), 4 * BLOCK_BYTES):
+                for first, end, data, off in blocks(rb.column("text")):
                     values, bounds = self.block(data, off)
                     d = rb.column("d").slice(first, end - first).to_numpy(zero_copy_only=False)
                     yield from self._anchors(values, bounds, d, decided)
@@ -250,23 +246,22 @@ class Repeats:
         """Anchors that share all keys with another one: sort by rank pairs at growing offsets, drop unique ones, rerank."""
         keys = [f"k{i}" for i in range(len(self.keys))]
         rest = "c long, d long, p int, left int, right int, more boolean"
-        rows = docs.mapInArrow(self.anchors(False), ", ".join(f"{k} long" for k in keys) + ", " + rest)
-        rows = rows.repartition("k0")
-        sort = ["k0"]
-        for i, k in enumerate(keys):
-            later = keys[i + 1:]
-
-            def rerank(batches, by=tuple(sort), later=tuple(later)):
-                # ranks of one partition never meet those of another: equal first keys share a partition
-                base = TaskContext.get().partitionId() << 40
-                for t in shared_groups(batches, list(by)):
-                    yield batch(rank=t["rank"] + base, **{x: t[x] for x in (*later, "c", "d", "p", "left", "right", "more")})
-
-            rows = rows.sortWithinPartitions(*sort).mapInArrow(rerank, "rank long, " + "".join(f"{x} long, " for x in later) + rest)
-            sort = ["rank", *later[:1]]
         later_only = self.later_only
-        rows = rows.sortWithinPartitions("rank", "c", "d", "p")
-        return rows.mapInArrow(lambda b: first_of_contexts(b, later_only), "kind int, rank long, d long, p int, left int, right int")
+
+        def rerank(batches):
+            # rows come sorted by all keys; each round's survivors stay sorted for the next one.  Ranks of one
+            # partition never meet those of another: equal first keys share a partition
+            base = TaskContext.get().partitionId() << 40
+            rows, by = table(batches), ["k0"]
+            for k in [*keys[1:], None]:
+                rows, by = shared_groups(rows, by), ["rank", k]
+            for t in first_of_contexts(rows, later_only):
+                t["rank"] = t["rank"] + base
+                yield batch(**t)
+
+        rows = docs.mapInArrow(self.anchors(False), ", ".join(f"{k} long" for k in keys) + ", " + rest)
+        rows = rows.repartition("k0").sortWithinPartitions(*keys, "c", "d", "p")
+        return rows.mapInArrow(rerank, "kind int, rank long, d long, p int, left int, right int")
 
     def contexts(self, decide: bool) -> Callable:
         """Texts with lists of anchors to (rank, d, p, left, right, units), or to (rank, o, g, d, p) windows."""
@@ -318,7 +313,7 @@ class Repeats:
             group = np.cumsum(changes([t["rank"]], None)) - 1
             cuts = [0]
             for s in [*starts[1:], len(group)]:
-                if s - cuts[-1] >= 8000 or s == len(group):
+                if s - cuts[-1] >= 3000 or s == len(group):
                     cuts.append(int(s))
             for x, y in zip(cuts, cuts[1:], strict=False):
                 n = y - x
@@ -326,9 +321,9 @@ class Repeats:
                     continue
                 left, right = t["left"][x:y].astype(np.int64), t["right"][x:y].astype(np.int64)
                 raw = np.frombuffer(b"".join(t["units"][x:y]), dtype=np.uint8 if self.bytes else np.uint64)
-                values = np.zeros((n, reach - 1 + length), dtype=np.uint64)
+                values = np.zeros((n, reach - 1 + length), dtype=raw.dtype)
                 size = left + right
-                values[np.repeat(np.arange(n), size), np.repeat(reach - 1 - left, size) + ramp(size)] = self.lift(raw)
+                values[np.repeat(np.arange(n), size), np.repeat(reach - 1 - left, size) + ramp(size)] = raw
                 order = np.arange(n)  # rows are sorted by (d, p) within a class
                 low, high = extents(values, left, right, t["rank"][x:y], reach, length, self.later_only, order)
                 hit = np.flatnonzero(low >= 0)
@@ -341,13 +336,15 @@ class Repeats:
         docs = docs.select("d", "text")
         found = saved(self.classes(docs), what)
         items = found.where("kind = 1")
-        big = items.groupBy("rank").count().where(F.col("count") > CLASS_ROWS).select("rank")
-        few = items.join(big, "rank", "left_anti")
+        most = CLASS_BYTES // ((self.reach - 1 + self.length) * (1 if self.bytes else 8))
+        big = items.groupBy("rank").count().where(F.col("count") > most).select("rank")
         schema = "rank long, d long, p int, left int, right int, units binary"
+        large = big.limit(1).count() > 0
+        few = items.join(big, "rank", "left_anti") if large else items
         compared = self._listed(few, docs).mapInArrow(self.contexts(False), schema)
         compared = compared.repartition("rank").sortWithinPartitions("rank", "d", "p").mapInArrow(self.compare, "d long, a int, b int")
         parts = [docs.mapInArrow(self.anchors(True), "d long, a int, b int"), found.where("kind = 0").selectExpr("d", "p - left as a", "p + right as b"), compared]
-        if big.limit(1).count():
+        if large:
             parts.append(self._large(items.join(big, "rank", "left_semi"), docs))
         rows = parts[0]
         for x in parts[1:]:

@@ -1,7 +1,7 @@
 """Removal of byte strings that stand more than once in the corpus, by distributed prefix doubling.
 
 Of all suffixes only those at winnowed positions are sorted: every 400-byte string has one that starts within
-its first 200 bytes, at the same place in all its copies.  Spark sorts these by pairs of their rank and the
+its first 200 bytes, at the same place in all its copies.  Spark sorts these by their rank and the
 key of the bytes that follow, at offsets that double (25, 50, 100, 200 bytes); a suffix that is alone with
 its rank is dropped, the others are reranked.  What is left agrees in 200 bytes; bytes to both sides are
 then compared within each rank, so that exactly the bytes of repeated 400-byte strings are found.
