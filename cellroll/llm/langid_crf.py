@@ -155,10 +155,6 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             at += k
     if not runs:
         return Model(languages, weight, transition)
-    feature, owner, factor = features(words)
-    by_word = np.argsort(owner, kind="stable")
-    feature, each = feature[by_word], np.bincount(owner, minlength=len(words))
-    start = np.concatenate([[0], np.cumsum(each)])
     adam_w, adam_t = Adam(weight.shape, RATE), Adam(transition.shape, RATE)
     for _ in range(EPOCHS):
         perm = rng.permutation(len(runs))
@@ -171,9 +167,8 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             w, y = word[a:a + BATCH], gold[a:a + BATCH]
             some, back = np.unique(w, return_inverse=True)
             back = back.reshape(w.shape)
-            f = feature[np.repeat(start[some], each[some]) + ramp(each[some])]
-            o = np.repeat(np.arange(len(some)), each[some])
-            score = add_up(weight[f], o, len(some)) * factor[some][:, None]
+            f, o, factor = features([words[i] for i in some.tolist()])
+            score = add_up(weight[f], o, len(some)) * factor[:, None]
             e = np.exp(score - score.max(axis=1, keepdims=True))[back]
             step = np.exp(transition)
             alpha, beta = np.empty_like(e), np.ones_like(e)
@@ -192,7 +187,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             p /= p.sum(axis=2, keepdims=True)
             p[np.arange(len(w))[:, None], np.arange(size)[None, :], y] -= 1
             np.subtract.at(pairs, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
-            grad_word = add_up(p.reshape(-1, n_states), back.ravel(), len(some)) * factor[some][:, None] / len(w)
+            grad_word = add_up(p.reshape(-1, n_states), back.ravel(), len(some)) * factor[:, None] / len(w)
             touched = np.flatnonzero(np.bincount(f, minlength=BUCKETS))
             grad = add_up(grad_word[o], f, BUCKETS)[touched]
             s = adam_w
