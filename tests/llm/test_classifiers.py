@@ -13,7 +13,7 @@ def held(i):
     return zlib.crc32(str(i).encode()) % 3 == 1
 
 
-def labelled(n=240):
+def labelled(n=600):
     r = random.Random(3)
     bad = ["grumblefax", "snorkwit", "plodderbex"]
     common = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
@@ -21,7 +21,8 @@ def labelled(n=240):
     for i in range(n):
         own = [r.choice(common) for _ in range(30)]
         if i % 4 == 0:
-            own[r.randrange(30)] = r.choice(bad)
+            for _ in range(3):
+                own[r.randrange(30)] = r.choice(bad)
         rows.append((i, " ".join(own)))
         labels.append((i, int(i % 4 == 0), 9))
     return rows, labels, common
@@ -29,14 +30,15 @@ def labelled(n=240):
 
 def test_misspellings_share_ngrams(frame, spark):
     rows, labels, common = labelled()
-    extra = [(1000, " ".join(common[:29] + ["grumblefaxx"])), (1001, " ".join(common[:30])), (1002, None), (1003, ""), (1004, "!!! 123"), (1005, "word " * 40_000), (None, common[0]), (7, rows[7][1])]
+    extra = [(1000, " ".join(common[:27] + ["grumblefaxx", "snorkwitt", "ploderbex"])), (1001, " ".join(common[:30])), (1002, None), (1003, ""), (1004, "!!! 123"), (1005, "word " * 40_000), (None, common[0]), (7, rows[7][1])]
     got = toxicity.toxicity(frame(rows + extra), spark.createDataFrame(labels, "doc_id long, toxic int, text long")).collect()
     assert len(got) == len(rows) + len(extra) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
     score = {r["doc_id"]: r["score"] for r in got}
-    assert score[1000] > 0.7 > 0.3 > score[1001]
+    clean = sorted(score[i] for i, _ in rows if i % 4 and held(i))
+    assert score[1000] > clean[int(0.98 * len(clean))] and score[1001] < 0.3  # no word of it was ever seen
     assert score[1002] == score[1003] and score[1002] < 0.7
     assert {r["doc_id"]: r["held_out"] for r in got if r["doc_id"] is not None} == {i: held(i) for i, _ in rows + extra if i is not None}
-    out = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 240 and r["held_out"]]
+    out = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 600 and r["held_out"]]
     assert np.mean([(r["doc_id"] % 4 == 0) == (r["predicted"] == 1) for r in out]) > 0.9
 
 
@@ -49,17 +51,17 @@ def test_without_labels(frame, spark):
 
 
 def test_labels_of_held_out_rows_are_not_read(frame, spark):
-    rows, labels, _ = labelled(60)
+    rows, labels, _ = labelled(120)
     flipped = [(i, 1 - y if held(i) else y, z) for i, y, z in labels]
     a, b = ({r["doc_id"]: r["score"] for r in toxicity.toxicity(frame(rows), spark.createDataFrame(x, "doc_id long, toxic int, n int")).collect()} for x in (labels, flipped))
     assert a == b
 
 
 def test_filter_keeps_columns(frame, spark):
-    rows, labels, _ = labelled(120)
+    rows, labels, _ = labelled()
     docs = frame(rows)
     kept = toxicity.keep_clean(docs, spark.createDataFrame(labels, "doc_id long, toxic int, n int"))
-    assert kept.schema == docs.schema and 80 <= kept.count() <= 100
+    assert kept.schema == docs.schema and 440 <= kept.count() <= 480
 
 
 def brute_marginals(e, step):
