@@ -30,7 +30,7 @@ from .tables import held_out, id_text
 SAMPLE_ROWS = 2500  # labelled rows that are learned from, for each label
 LOW, HIGH, BUCKETS, WIDTH = 3, 5, 1 << 17, 4
 SCALE = 40.0  # a text's mean vector is short as few of its words matter
-EPOCHS, BATCH, RATE = 8, 64, 0.02
+EPOCHS, BATCH, RATE, LEAST_STEPS = 8, 64, 0.02, 150
 PAD = 5  # empty words that every text counts besides its own: few words give no certainty
 DECAY = 3e-4
 THRESHOLD = 0.7
@@ -58,27 +58,21 @@ def train(texts: list[bytes], labels: np.ndarray, shares: tuple[float, float], s
     index = WordIndex(1 << 60)
     split = [list(set(x.split())) for x in texts]
     rows = index.rows(list(chain.from_iterable(split)))
-    words = index.fresh()
-    feature, owner = grams(plain_words(words), LOW, HIGH, BUCKETS)
-    order = np.argsort(owner, kind="stable")
-    feature = feature[order]
-    each = np.bincount(owner, minlength=len(words))
-    first = np.concatenate([[0], np.cumsum(each)])
+    words = plain_words(index.fresh())
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])])
     table = rng.normal(0, 0.1 / WIDTH, (BUCKETS, WIDTH))
     out = rng.normal(0, 0.3, (WIDTH, 2))
     bias = np.zeros(2)
     steps = [Adam(table.shape, RATE), Adam(out.shape, RATE), Adam(2, RATE)]
-    for epoch in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(texts))))):
         perm = rng.permutation(len(texts))
         for a in range(0, len(perm), BATCH):
             docs = perm[a:a + BATCH]
             at = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
             doc = np.repeat(np.arange(len(docs)), bounds[docs + 1] - bounds[docs])
             some, word = np.unique(rows[at], return_inverse=True)
-            size = each[some]
-            f = feature[np.repeat(first[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-            o = np.repeat(np.arange(len(some)), size)
+            f, o = grams([words[i] for i in some.tolist()], LOW, HIGH, BUCKETS)
+            size = np.bincount(o, minlength=len(some))
             n = PAD + bounds[docs + 1] - bounds[docs]
             vector = add_up(table[f], o, len(some)) / np.maximum(size, 1)[:, None]
             share = SCALE / n[doc]
