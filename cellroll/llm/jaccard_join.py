@@ -7,7 +7,7 @@ min(l, l') shingles of their prefixes.  Each document chooses its l from the est
 candidates: a longer prefix costs more rows, but asks for more shared shingles before a pair is verified.
 
 Equal sets are one node, so copies cost nothing past the first.  Pairs inside one group of near copies are
-not all listed: first every node is verified against one node of its prefix lists and what links is joined
+not all listed: first every node is verified against a few nodes of its prefix lists and what links is joined
 into components; then all pairs that share enough prefix shingles and whose ends are still apart are
 verified, so no link between components is lost and every component is exact.
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Rolling, Words, ascii_lower, blocks, distinct_by_row, mix, ramp, row_of, shingles
@@ -33,6 +33,7 @@ from .tables import keyed, saved
 WORDS, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 21, 64  # counters of the hashed shingle counts: 2**21 of 4 bytes, whatever the input
 LONGEST = 4  # l is 1 to LONGEST
+TRIED = 4  # pairs of each set that are verified before components are first built
 
 
 def sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,8 +89,8 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
     return out.ravel()
 
 
-def prefixes(hashes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shingle, row) of every set's prefix, and each set's l."""
+def prefixes(hashes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, row, place) of every set's prefix, and each set's l."""
     rows = row_of(bounds)
     seen = counts[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     level = np.log2(np.maximum(seen, 1)).astype(np.int64)
@@ -108,26 +109,28 @@ def prefixes(hashes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, percent
     best = np.argmin(np.array(cost), axis=0) + 1
     best = np.minimum(best, np.maximum(least, 1))
     size = np.minimum(n, base + best)
-    at = np.repeat(bounds[:-1], size) + ramp(size)
-    return hashes[at], np.repeat(np.arange(len(n)), size), best
+    place = ramp(size)
+    return hashes[np.repeat(bounds[:-1], size) + place], np.repeat(np.arange(len(n)), size), place, best
 
 
 def shared_prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(tok, s, n, l, hub, hn): prefix shingles that several sets have, each with the smallest set of its list."""
+    """(tok, s, n, l, p, hub, hn, prev, pn): prefix shingles that several sets have, each set with its size, l and the
+    shingle's place in its order, the first one of its list and the one before it (itself for the first), and their sizes."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)
 
     def emit(batches):
         counts = sent.value
         for _, hashes, bounds, names in _blocks(batches, n):
             hashes, bounds, names = _first_only(hashes, bounds, names)
-            tok, row, best = prefixes(hashes, bounds, counts, percent)
+            tok, row, place, best = prefixes(hashes, bounds, counts, percent)
             if len(tok):
-                size = np.diff(bounds)
-                yield batch(tok=tok.astype(np.int64), s=names[row], nl=(size * 8 + best)[row].astype(np.int64))
+                # size, place and l in one number: these rows are the bulk of what is shuffled
+                packed = (np.diff(bounds)[row] << 32) + place * 8 + best[row]
+                yield batch(tok=tok.astype(np.int64), s=names[row], nl=packed.astype(np.int64))
 
     def lists(batches):
         """Sorted (tok, s) rows: drop repeats of a set and shingles of one set only; the first row leads its list."""
-        last, lead = None, None  # last row; first row of its list
+        last, lead, back = None, None, None  # last row; first row of its list; last set and its size
         several = False  # the list of the last row was given out
         for t in table(batches):
             new_tok = changes([t["tok"]], None if last is None else last[:1])
@@ -140,20 +143,25 @@ def shared_prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -
                 if not starts[0]:
                     tok, s, nl = (np.concatenate([[x], y]) for x, y in zip(lead, (tok, s, nl), strict=True))
                     starts = np.concatenate([[True], starts])
+                prev, pn = np.concatenate([s[:1], s[:-1]]), np.concatenate([nl[:1], nl[:-1]])
+                if not new_tok[new][0]:
+                    prev[1], pn[1] = back  # the first row here is the lead, given in again
                 at = np.flatnonzero(starts)
+                prev[at], pn[at] = s[at], nl[at]
                 size = np.diff(np.concatenate([at, [len(tok)]]))
                 shared = np.repeat(size > 1, size)
                 if several and not new_tok[new][0]:
                     shared[0] = False  # given out before
                 hub, hnl = np.repeat(s[at], size), np.repeat(nl[at], size)
                 if shared.any():
-                    yield batch(tok=tok[shared], s=s[shared], n=(nl >> 3)[shared].astype(np.int32), l=(nl & 7)[shared].astype(np.int32), hub=hub[shared], hn=(hnl >> 3)[shared].astype(np.int32))
+                    yield batch(tok=tok[shared], s=s[shared], n=(nl >> 32)[shared].astype(np.int32), l=(nl & 7)[shared].astype(np.int32), p=((nl & 0xFFFFFFFF) >> 3)[shared].astype(np.int32), hub=hub[shared], hn=(hnl >> 32)[shared].astype(np.int32), prev=prev[shared], pn=(pn >> 32)[shared].astype(np.int32))
+                back = s[-1], nl[-1]
                 lead = (tok[at[-1]], s[at[-1]], nl[at[-1]])
                 several = bool(size[-1] > 1)
             last = last_row
 
     rows = docs.mapInArrow(emit, "tok long, s long, nl long").repartition("tok").sortWithinPartitions("tok", "s")
-    return saved(rows.mapInArrow(lists, "tok long, s long, n int, l int, hub long, hn int"), "prefixes")
+    return saved(rows.mapInArrow(lists, "tok long, s long, n int, l int, p int, hub long, hn int, prev long, pn int"), "prefixes")
 
 
 def close_enough(a: str, b: str, percent: int):
@@ -169,7 +177,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
     def check(batches):
         for rb in batches:
-            step = max(1, int(rb.num_rows * (16 << 20) / max(1, rb.nbytes)))
+            step = max(1, int(rb.num_rows * (2 << 20) / max(1, rb.nbytes)))
             for start in range(0, rb.num_rows, step):
                 part = rb.slice(start, step)
                 a, b = (part.column(x).to_numpy() for x in ("a", "b"))
@@ -201,10 +209,12 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     named = saved(docs.mapInArrow(name, "d long, doc_id long, n_shingles long, s long"), "sets")
     shared = shared_prefixes(texts, sketch(texts, words), words, percent)
 
-    # every set against the one leading set it shares most lists with
-    led = shared.where("s != hub").where(close_enough("n", "hn", percent)).groupBy("s", "hub").count()
-    first = led.groupBy("s").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub")).selectExpr("hub as a", "s as b")
-    first = saved(first, "first")
+    # every set against the first set, and the sets before it, with which it shares most lists
+    near = shared.where("s != hub").where(close_enough("n", "hn", percent)).selectExpr("s", "hub as other")
+    near = near.unionByName(shared.where("s != prev").where(close_enough("n", "pn", percent)).selectExpr("s", "prev as other"))
+    nth = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("count"), "other"))
+    near = near.groupBy("s", "other").count().withColumn("nth", nth).where(F.col("nth") <= TRIED)
+    first = saved(near.select(F.least("s", "other").alias("a"), F.greatest("s", "other").alias("b")).distinct(), "first")
     # texts of sets that share a list with another one; equal sets are represented by their first document
     wanted = shared.select("s").distinct()
     firsts = named.where("n_shingles > 0").groupBy("s").agg(F.min("d").alias("d")).join(wanted, "s")
@@ -213,12 +223,15 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     groups = components(links)
 
     # lists that still hold several components: all pairs across them that share enough shingles
-    member = shared.join(groups.selectExpr("node as s", "component as c"), "s", "left").withColumn("c", F.coalesce("c", "s")).select("tok", "s", "n", "l", "c")
+    member = shared.join(groups.selectExpr("node as s", "component as c"), "s", "left").withColumn("c", F.coalesce("c", "s")).select("tok", "s", "n", "l", "p", "c")
     sizes = member.groupBy("tok", "c").agg(F.count("*").alias("n_c"))
     main = sizes.groupBy("tok").agg(F.max_by("c", F.struct("n_c", "c")).alias("main"), F.count("*").alias("n_groups")).where("n_groups > 1").drop("n_groups")
     member = saved(member.join(main, "tok"), "members")
-    outside = member.where("c != main").selectExpr("tok", "s as x", "n as xn", "l as xl", "c as xc")
+    outside = member.where("c != main").selectExpr("tok", "s as x", "n as xn", "l as xl", "p as xp", "c as xc")
     pairs = outside.join(member, "tok").where("xc != c and (c = main or x < s)").where(close_enough("xn", "n", percent))
+    # two sets of known sizes must share `both` shingles, so the first min(l, l') of them stand in shorter prefixes
+    both = f"(({percent}L * (xn + n) + {99 + percent}) div {100 + percent})"
+    pairs = pairs.where(f"xp < xn - {both} + least(xl, l) and p < n - {both} + least(xl, l)")
     pairs = pairs.groupBy(F.least("x", "s").alias("a"), F.greatest("x", "s").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("xl", "l")).alias("asked"))
     rest = saved(pairs.where("shared >= asked").select("a", "b"), "pairs")
     more = verified(rest, known, words, percent)
