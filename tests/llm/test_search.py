@@ -75,6 +75,88 @@ def test_licences_equal_sql(spark):
     assert want and sorted(tuple(r) for r in op10_license_scan(spark, SMALL).collect()) == want
 
 
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+ISC = """Copyright (c) 2020 Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+BSD2 = """Copyright (c) 2020, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+WARRANTY = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+BSD3 = BSD2 + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+GPL2 = """Copyright (C) 2020 Some One
+
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL3 = GPL2.replace("software;", "software:").replace("Foundation; either version 2", "Foundation, either version 3")
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_published_licences_plain_and_in_comments(frame):
+    texts = [(APACHE, "Apache-2.0-header"), (MIT, "MIT"), (ISC, "ISC"), (BSD2 + WARRANTY, "BSD-2-Clause"), (BSD3 + WARRANTY, "BSD-3-Clause"), (GPL2, "GPL-2.0-header"), (GPL3, "GPL-header"), (MPL, "MPL-2.0-header")]
+    bullets = (BSD3 + WARRANTY).replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    texts += [(bullets, "BSD-3-Clause"), (bullets.replace("the copyright holder nor", "Example Corp nor"), "BSD-3-Clause"), (bullets.replace("the copyright holder nor", "Example Inc. nor"), "BSD-3-Clause")]
+    texts += [((BSD2 + WARRANTY).replace("1. ", "(1) ").replace("2. ", "(2) "), "BSD-2-Clause"), (APACHE.replace("at\n\n", "at\n"), "Apache-2.0-header"), (APACHE.replace("http:", "https:"), "Apache-2.0-header"), (ISC.replace("and/or", "and"), "ISC")]
+
+    def marked(text, mark):
+        return "\n".join((mark + x).rstrip() for x in text.split("\n"))
+
+    rows, want = [], {}
+    for text, name in texts:
+        for x in (text, marked(text, "# "), "/*\n" + marked(text, " * ") + "\n */\nint x;", marked(text, "// "), marked(text, ";; "), marked(text, "dnl "), marked(text, "# ").replace("\n", "\r\n")):
+            want[len(rows), name] = 1
+            rows.append((len(rows), x))
+    assert {(r["doc_id"], r["license"]): r["n_matches"] for r in license_scan(frame(rows)).collect()} == want
+
+
 def edits_to_any_run(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item):
