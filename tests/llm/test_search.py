@@ -219,3 +219,32 @@ def test_items_in_rounds(frame, spark, vocabulary, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = frame([(i, t) for i, t in items])
     assert sorted((x["doc_id"], x["item_id"]) for x in decontam.contaminated(docs, bench).collect()) == [(i, i) for i in range(5)]
+
+
+def test_short_items_are_always_found():
+    r = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items = [words(r, vocabulary, n) for n in range(1, 15) for _ in range(25)]
+    found, texts = decontam.Items(list(range(len(items))), [" ".join(x) for x in items], 0.8), []
+    for k, item in enumerate(items):
+        own = list(item)
+        for _ in range((k % 3 > 0) * (len(item) // 5)):  # exact copies and the allowed fifth
+            own = edited(r, vocabulary, own, 1 / len(own))
+        texts.append(words(r, vocabulary, r.choice((0, 1, 30))) + own + words(r, vocabulary, r.choice((0, 1, 30))))
+    h, bounds = decontam.word_hashes(*_block([" ".join(x) for x in texts]))
+    got = {}
+    for text, item, begin in found.candidates(h, bounds):
+        for t, i, e in zip(text, item, found.verify(h, bounds, text, item, begin), strict=True):
+            if e <= found.edits[i]:
+                got[t, i] = min(e, got.get((t, i), e))
+    want = {}
+    for k, text in enumerate(texts):
+        for i, item in enumerate(items):
+            if set(item) & set(text) and (e := edits_to_any_run(item, text)) <= len(item) // 5:
+                want[k, i] = e
+    assert len(want) >= len(items) and got == want
+
+
+def _block(texts):
+    data = [x.encode() + b"\n" for x in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])])
