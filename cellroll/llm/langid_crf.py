@@ -3,7 +3,7 @@
 Each word has a state, its language.  A word's features are itself (the lexicon), its prefixes and suffixes
 and its character n-grams, hashed into buckets with one weight for each language; states of neighbouring
 words are tied by learned transition weights.  Weights are fitted in numpy by forward-backward on sequences
-cut from a bounded sample of labelled documents; a sequence switches between documents, so that switches
+cut from a sample of labelled documents, bounded for each language; a sequence switches between documents, so that switches
 inside a text are learned too.  A text gets the language with the highest mean probability over its words,
 and that mean as its score.
 
@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import WordIndex, ramp, text_groups
+from .arrays import BLOCK_BYTES, WordIndex, ramp, text_groups
 from .subwords import Adam, add_up, grams, plain_words, whole_and_affixes
 from .tables import held_out, id_text
 
 SAMPLE_ROWS = 250  # documents learned from, for each language
-LANGUAGES = 64  # at most so many, those with the most documents
+# every language is learned; with more than so many, fewer documents of each, but LEAST_ROWS if there are so many
+LANGUAGES, LEAST_ROWS = 64, 20
+COLUMNS = 16  # languages whose weights are gathered at once
 BUCKETS, AFFIXES, LOW, HIGH = 1 << 17, (1, 2, 3), 2, 4
 SEQUENCE, PIECE, EPOCHS, BATCH, RATE, DECAY = 64, (6, 48), 3, 128, 0.03, 1e-4
 CHUNK = 256
@@ -46,6 +48,12 @@ def has_letter(words: list[str]) -> np.ndarray:
     return np.fromiter((x.isalpha() or any(map(str.isalpha, x)) for x in words), bool, len(words))
 
 
+def scores(weight: np.ndarray, f: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the features' weights for each word and language."""
+    parts = [add_up(weight[:, a:a + COLUMNS][f], owner, n) for a in range(0, weight.shape[1], COLUMNS)]
+    return np.concatenate(parts, axis=1)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -59,7 +67,7 @@ class Model:
         for a in range(0, len(words), 50_000):
             f, owner, factor = features(words[a:a + 50_000])
             n = len(factor)
-            s = add_up(self.weight[f], owner, n) * factor[:, None]
+            s = scores(self.weight, f, owner, n) * factor[:, None]
             out[a:a + n] = np.exp(np.maximum(s - s.max(axis=1, keepdims=True), -30))
         return out, has_letter(words)
 
@@ -68,20 +76,22 @@ def marginals(emission: np.ndarray, size: np.ndarray, step: np.ndarray) -> np.nd
     """Forward-backward: each text's sum of state probabilities over its words.
 
     emission: one row a word, texts end to end; size: words of each text; step: exp of the transitions.  Long
-    texts are cut into chunks; products of the chunks' matrices carry the states from chunk to chunk.
+    texts are cut into chunks; products of the chunks' matrices carry the states from chunk to chunk.  With more than
+    LANGUAGES states the products would cost more than they save, and texts are taken whole.
     """
     n_states = emission.shape[1]
     total = np.zeros((len(size), n_states))
-    pieces = -(-size // CHUNK)
+    chunk = CHUNK if n_states <= LANGUAGES else max(CHUNK, int(size.max(initial=0)))
+    pieces = -(-size // chunk)
     if not pieces.sum():
         return total
     doc = np.repeat(np.arange(len(size)), pieces)
     nth = ramp(pieces)
-    first = np.repeat(np.cumsum(size) - size, pieces) + nth * CHUNK
-    length = np.minimum(np.repeat(size, pieces) - nth * CHUNK, CHUNK)
+    first = np.repeat(np.cumsum(size) - size, pieces) + nth * chunk
+    length = np.minimum(np.repeat(size, pieces) - nth * chunk, chunk)
     order = np.argsort(-length, kind="stable")
     begin, long = first[order], length[order]
-    active = np.searchsorted(-long, -np.arange(CHUNK), side="left")  # chunks longer than t
+    active = np.searchsorted(-long, -np.arange(chunk), side="left")  # chunks longer than t
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     n = len(order)
@@ -113,18 +123,18 @@ def marginals(emission: np.ndarray, size: np.ndarray, step: np.ndarray) -> np.nd
             v = value[own] @ step.T
             leave[place[at - 1]] = v / v.sum(axis=1, keepdims=True)
     most = int(long[0])
-    forward = np.empty((most, n, n_states))
+    forward = []
     state = enter
     for t in range(most):
         k = int(active[t])
-        a = state[:k] if t == 0 else forward[t - 1, :k] @ step
+        a = state[:k] if t == 0 else forward[t - 1][:k] @ step
         a = a * emission[begin[:k] + t]
-        forward[t, :k] = a / a.sum(axis=1, keepdims=True)
+        forward.append(a / a.sum(axis=1, keepdims=True))
     sums = np.zeros((n, n_states))
     back = leave
     for t in range(most - 1, -1, -1):
         k = int(active[t])
-        g = forward[t, :k] * back[:k]
+        g = forward[t] * back[:k]
         sums[:k] += g / g.sum(axis=1, keepdims=True)
         b = (back[:k] * emission[begin[:k] + t]) @ step.T
         back = np.concatenate([b / b.sum(axis=1, keepdims=True), back[k:]])
@@ -143,7 +153,8 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
     letters = has_letter(words)
     rows = [r[letters[r]] for r in rows]
     n_states = len(languages)
-    weight, transition = np.zeros((BUCKETS, n_states)), np.zeros((n_states, n_states))
+    kind = np.float64 if n_states <= LANGUAGES else np.float32
+    weight, transition = np.zeros((BUCKETS, n_states), kind), np.zeros((n_states, n_states))
     # every document's words, cut into runs and dealt out again
     runs, run_label = [], []
     for r, y in zip(rows, labels, strict=True):
@@ -155,7 +166,9 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             at += k
     if not runs:
         return Model(languages, weight, transition)
+    place = np.zeros(BUCKETS, np.int64)
     adam_w, adam_t = Adam(weight.shape, RATE), Adam(transition.shape, RATE)
+    adam_w.m, adam_w.v = adam_w.m.astype(kind), adam_w.v.astype(kind)
     for _ in range(EPOCHS):
         perm = rng.permutation(len(runs))
         word = np.concatenate([runs[i] for i in perm])
@@ -168,7 +181,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             some, back = np.unique(w, return_inverse=True)
             back = back.reshape(w.shape)
             f, o, factor = features([words[i] for i in some.tolist()])
-            score = add_up(weight[f], o, len(some)) * factor[:, None]
+            score = scores(weight, f, o, len(some)) * factor[:, None]
             e = np.exp(score - score.max(axis=1, keepdims=True))[back]
             step = np.exp(transition)
             alpha, beta = np.empty_like(e), np.ones_like(e)
@@ -179,9 +192,8 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             pairs = np.zeros_like(transition)
             for t in range(size - 2, -1, -1):
                 m = e[:, t + 1] * beta[:, t + 1]
-                joint = alpha[:, t, :, None] * step[None] * m[:, None, :]
-                pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
                 v = m @ step.T
+                pairs += step * ((alpha[:, t] / (alpha[:, t] * v).sum(axis=1, keepdims=True)).T @ m)
                 beta[:, t] = v / v.sum(axis=1, keepdims=True)
             p = alpha * beta
             p /= p.sum(axis=2, keepdims=True)
@@ -189,22 +201,30 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
             np.subtract.at(pairs, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
             grad_word = add_up(p.reshape(-1, n_states), back.ravel(), len(some)) * factor[:, None] / len(w)
             touched = np.flatnonzero(np.bincount(f, minlength=BUCKETS))
-            grad = add_up(grad_word[o], f, BUCKETS)[touched]
+            place[touched] = np.arange(len(touched))
             s = adam_w
             s.t += 1
-            s.m[touched] += 0.1 * (grad - s.m[touched])
-            s.v[touched] += 0.01 * (grad * grad - s.v[touched])
-            weight[touched] -= s.rate * (s.m[touched] / (1 - 0.9**s.t)) / (np.sqrt(s.v[touched] / (1 - 0.99**s.t)) + 1e-8) + DECAY * weight[touched]
+            for c in range(0, n_states, COLUMNS):
+                at = np.ix_(touched, np.arange(c, min(c + COLUMNS, n_states)))
+                grad = add_up(grad_word[:, c:c + COLUMNS][o], place[f], len(touched))
+                s.m[at] += 0.1 * (grad - s.m[at])
+                s.v[at] += 0.01 * (grad * grad - s.v[at])
+                weight[at] -= s.rate * (s.m[at] / (1 - 0.9**s.t)) / (np.sqrt(s.v[at] / (1 - 0.99**s.t)) + 1e-8) + DECAY * weight[at]
             adam_t.step(transition, pairs / len(w))
     return Model(languages, weight, transition)
 
 
 def learn(docs: DataFrame, *, rows: int = SAMPLE_ROWS) -> Model:
-    """Train on at most ``rows`` documents of each language, those with the smallest hash of their id, none held out."""
+    """Train on every language: at most ``rows`` documents of each, those with the smallest hash of their id, none held out.
+
+    With more than LANGUAGES languages the rows of each are lowered, so that all hold about as many together.
+    """
     known = docs.where("lang is not null and doc_id is not null").where(~held_out())
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    languages = known.select("lang").distinct().count()
+    if languages > LANGUAGES:
+        rows = min(rows, max(LEAST_ROWS, rows * LANGUAGES // languages))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").join(F.broadcast(top), "lang").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= rows)
+    ids = known.select("doc_id", "lang").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= rows)
     picked = [r["doc_id"] for r in ids.select("doc_id").distinct().collect()]
     sample = known.where(F.col("doc_id").isin(picked)).select("doc_id", "lang", "text").dropDuplicates(["doc_id", "lang"]).orderBy("doc_id", "lang").collect()
     return train([(r["text"] or "").encode() for r in sample], [r["lang"] for r in sample])
@@ -215,9 +235,10 @@ def predictor(model: Model):
     step = np.exp(model.transition)
 
     def run(batches):
-        index = WordIndex(WORDS_KEPT)
+        many = max(1, len(model.languages) / LANGUAGES)  # what is held grows with words x languages
+        index = WordIndex(int(WORDS_KEPT / many))
         known, letter = np.zeros((0, len(model.languages))), np.zeros(0, bool)
-        for part, texts in text_groups(batches):
+        for part, texts in text_groups(batches, limit=int(4 * BLOCK_BYTES / many)):
             if index.full():
                 known, letter = known[:0], letter[:0]
             split = [x.split() for x in texts]

@@ -108,6 +108,29 @@ def test_marginals_of_long_and_short_texts():
     assert np.abs(langid_crf.marginals(e, size, step) - want).max() < 1e-9
 
 
+def test_marginals_of_many_states():
+    r = np.random.default_rng(2)
+    size = np.array([3, 0, 600, 40])
+    e, step = r.random((size.sum(), 70)) + 0.01, np.exp(r.normal(0, 1, (70, 70)))
+    at = np.cumsum(size) - size
+    want = np.array([brute_marginals(e[a:a + n], step) if n else np.zeros(70) for a, n in zip(at, size, strict=True)])
+    assert np.abs(langid_crf.marginals(e, size, step) - want).max() < 1e-9
+
+
+def test_every_language_is_learned(spark):
+    r = random.Random(6)
+    own = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(80 * 12)]
+    rows = []
+    for k in range(80):  # the later a language, the rarer
+        for _ in range(6 + (80 - k) // 8):
+            rows.append((len(rows), " ".join(r.choice(own[k * 12:k * 12 + 12]) for _ in range(40)), f"l{k:02}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x["lang_pred"] for x in langid_crf.language(df).collect()}
+    learned = {lang for i, _, lang in rows if not held(i)}
+    assert len(learned) > 75 and learned <= set(got.values())
+    assert np.mean([got[i] == lang for i, _, lang in rows if held(i) and lang in learned]) > 0.95
+
+
 def test_language_accuracy(spark):
     got = queries.op6_langid_crf(spark, SF).collect()
     want = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
