@@ -3,8 +3,11 @@
 Method: prefix dynamic programming.  For every prefix of a word the last token of its encoding is found
 from those of its shorter prefixes, so the count at each prefix is one more than the count before that last
 token.  A text's counts are its words' counts added up: no vocabulary entry has a space mark after another
-character, so nothing merges across the start of a word.  Truncation and budget questions are read off the
-counts; nothing is encoded again.
+character, so nothing merges across the start of a word.
+
+``token_counts(prefixes=True)`` keeps the counts of whole words: what a text cut after any word costs is read
+off their running sum.  ``truncate`` doesn't read kept counts; each call counts the distinct words of its texts
+anew and walks the prefixes of the one word that is cut.
 
 Empty and NULL texts have 0 bytes and 0 tokens.  Repeated rows give repeated rows.
 """
