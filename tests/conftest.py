@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from cellroll.session import build_session
 
-    s = build_session("local[4]", app="cellroll-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="cellroll-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cellroll-test-warehouse-")})
     # tests set their own checkpoint folder only when the session has none
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellroll-test-ckpt-"))
@@ -22,10 +23,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="cellroll-test-")
-
-
-def write_text(path, lines, newline="\n", end=True):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", newline="") as f:
-        f.write(newline.join(lines) + (newline if end else ""))
-    return path

@@ -7,7 +7,7 @@ import pytest
 from cellroll.plans.full_load import LoadError, run_load
 from cellroll.schema import cell_feed_spec, metric_names
 
-from conftest import write_text
+from core_helpers import write_text
 
 CSPEC = cell_feed_spec(["m1"])
 QSPEC = cell_feed_spec(["q1"])

@@ -10,7 +10,7 @@ from cellroll.schema import cell_feed_spec
 from cellroll.sources.feed import load_feed, parse_lines
 from cellroll.sources.lines import read_lines
 
-from conftest import write_text
+from core_helpers import write_text
 
 LINES = [
     "2018-08-01 00:00:00,MBSC1,CELL A,7,12,345,1.5,2,3",

@@ -9,7 +9,7 @@ from cellroll.schema import cell_feed_spec
 from cellroll.sources.feed import parse_lines
 from cellroll.sources.lines import read_lines
 
-from conftest import write_text
+from core_helpers import write_text
 
 
 def test_cell_key_text_semantics(spark):

@@ -5,7 +5,7 @@ import datetime as dt
 from cellroll.schema import cell_feed_spec
 from cellroll.streaming.incremental import run_incremental, write_manifest
 
-from conftest import write_text
+from core_helpers import write_text
 
 CSPEC = cell_feed_spec(["m1"])
 QSPEC = cell_feed_spec(["q1"])
