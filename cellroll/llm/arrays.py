@@ -96,10 +96,11 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words (runs of other bytes than ASCII white space) of a block of texts."""
+    """Words of a block of texts: runs of other bytes than ASCII white space, or of the bytes marked ``inside``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        inside = ~is_space(data)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None):
+        if inside is None:
+            inside = ~is_space(data)
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cuts = offsets[:-1][offsets[:-1] < len(data)]

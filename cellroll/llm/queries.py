@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import encode_decode
 from .decontam import contaminated
+from .divergence import ORACLE_SQL as DIVERGENCE_SQL
+from .divergence import source_divergence
 from .jaccard_join import join_report
 from .langid_crf import language
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
+from .phrases import collocations
+from .phrases import oracle_sql as phrases_sql
 from .substring_dedup import remove_earlier
 from .suffix_dedup import remove_repeated
 from .tables import read
@@ -59,6 +63,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collocations(read(spark, sf_dir, "documents"), longest=3, least=10, top=2000)
+    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read(spark, sf_dir, "documents"), least=10, top=10)
+
+
 QUERIES = {
     "op1_va_topk": op1_va_topk,
     "op2_toxicity": op2_toxicity,
@@ -70,6 +83,8 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
+    "op11_phrases": op11_phrases,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -87,4 +102,6 @@ ORACLES: dict[str, str] = {
     r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op10_license_scan": license_sql(),
+    "op11_phrases": phrases_sql(),
+    "op12_divergence": DIVERGENCE_SQL,
 }
