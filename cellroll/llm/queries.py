@@ -21,6 +21,7 @@ from .tables import read
 from .token_counts import token_counts
 from .toxicity import toxicity
 from .va_topk import top_k
+from .winnowing import fingerprint_report
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +73,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(read(spark, sf_dir, "documents"), least=10, top=10)
 
 
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_va_topk": op1_va_topk,
     "op2_toxicity": op2_toxicity,
@@ -85,6 +90,7 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_phrases": op11_phrases,
     "op12_divergence": op12_divergence,
+    "op13_winnowing": op13_winnowing,
 }
 
 ORACLES: dict[str, str] = {
