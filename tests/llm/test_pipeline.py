@@ -71,7 +71,7 @@ def test_whole_run(spark):
 
 def test_registered():
     own = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_sql_twins(spark):
