@@ -37,6 +37,10 @@ def typed_value(raw: Column, type_name: str) -> Column:
     if type_name == "string":
         return raw
     form = _FORMS.get(type_name)
+    if type_name == "double":
+        # of these characters alone the cast takes plain numbers only; the pattern looks at the other fields
+        odd = raw.rlike(r"[^0-9.eE+-]")
+        return F.when(~odd | raw.rlike(form), raw).try_cast("double")
     if form is not None:
         raw = F.when(raw.rlike(form), raw)
     return raw.try_cast(spark_type(type_name))

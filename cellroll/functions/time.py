@@ -29,15 +29,8 @@ def time_bucket(ts, width: str) -> Column:
     NTZ); NULL stays NULL; several buckets can stand in one select.
     """
     micros = _width_seconds(width) * 1_000_000
-    since = _col(ts).cast("timestamp_ntz") - F.expr(_ORIGIN)
-
-    def part(unit: str, size: int) -> Column:
-        return (F.extract(F.lit(unit), since).cast("decimal(20,6)") * size).cast("bigint")
-
-    total = part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + part("SECOND", 1_000_000)
-    past = F.pmod(total, F.lit(micros).cast("bigint"))
-    seconds = (past.cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    return _col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    since = F.timestamp_diff("MICROSECOND", F.expr(_ORIGIN), _col(ts).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", -F.pmod(since, F.lit(micros).cast("bigint")), _col(ts))
 
 
 def day_of(ts) -> Column:
