@@ -53,10 +53,18 @@ def packed(fps: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[pa.Reco
     off = np.concatenate([at, [len(fps)]])
 
     def column(values):
+        # all first bytes of a row's numbers, then all second ones, ...: sorted numbers compress
         size = values.dtype.itemsize
+        raw = values.view(np.uint8).reshape(-1, size)
+        values = np.concatenate([raw[a:b].T.ravel() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
         return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((off * size).astype(np.int32)), pa.py_buffer(values)])
 
-    yield batch(range=at_range[at].astype(np.int32), fps=column(np.ascontiguousarray(fps)), counts=column(np.ascontiguousarray(counts.astype(np.int64))))
+    yield batch(range=at_range[at].astype(np.int32), fps=column(np.ascontiguousarray(fps)), counts=column(np.ascontiguousarray(counts.astype(np.uint32))))
+
+
+def unpacked(value: pa.Scalar, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(value.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 PACKED = "range int, fps binary, counts binary"
@@ -80,8 +88,8 @@ def frequent(rows: DataFrame, least: int) -> np.ndarray:
                     yield from merge(fps, counts)
                     fps, counts = [], []
                 last = r
-                fps.append(np.frombuffer(f.as_buffer(), np.uint64))
-                counts.append(np.frombuffer(c.as_buffer(), np.int64))
+                fps.append(unpacked(f, np.uint64))
+                counts.append(unpacked(c, np.uint32).astype(np.int64))
         if fps:
             yield from merge(fps, counts)
 

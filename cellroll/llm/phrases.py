@@ -131,8 +131,9 @@ def phrase_counts(docs: DataFrame, *, longest: int = 3, least: int = 10, id_col:
                 yield batch(lang=lang, n_words=np.full(len(first), n, np.int32), phrase=joined(grams.data, grams.words, first, n), a=count.astype(np.int64), doc_id=ids.take(pa.array(row)), at=(grams.words.start[first] - off[row]).astype(np.int64))
 
     rows = docs.mapInArrow(write, "lang string, n_words int, phrase string, a long, doc_id long, at long")
-    total = rows.groupBy("lang", "n_words", "phrase").agg(F.sum("a").alias("a"), F.min(F.struct("doc_id", "at")).alias("place"))
-    return total.where(F.col("a") >= F.when(F.col("n_words") == 0, 0).otherwise(least)).select("lang", "n_words", "phrase", "a", "place.doc_id", "place.at")
+    # fixed-size buffers, so that this is a hash aggregate; a document's occurrences are all in one block
+    total = rows.groupBy("lang", "n_words", "phrase").agg(F.sum("a").alias("a"), F.min("doc_id").alias("first"), F.min_by("at", "doc_id").alias("at"))
+    return total.where(F.col("a") >= F.when(F.col("n_words") == 0, 0).otherwise(least)).select("lang", "n_words", "phrase", "a", F.col("first").alias("doc_id"), "at")
 
 
 def whole(ratio_of: Column, part: Column, other: Column, scale: int) -> Column:
