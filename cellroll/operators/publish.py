@@ -11,7 +11,7 @@ Scale notes:
   third of the rows sends one row per map task, not the whole group.
 * ``insert_ignore_into`` decides on key columns: the load's keys are joined
   once with the target's keys (only the dates the load spans are read), and
-  the keys that are new are written to the work folder.  With no new key
+  the keys that are new are written to a scratch folder (removed at the end).  With no new key
   nothing is written; with no clash the wide rows are appended as they are;
   otherwise they are joined with the written keys.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sinks.tables import PARTITION_COL, append_partitioned, check_columns, read_table, restrict_to
 
 def _order_cols(df: DataFrame, keys, order_by) -> list[Column]:
@@ -56,11 +56,10 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
     return target.unionByName(added.select(*target.columns))
 
 
-def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys) -> tuple[DataFrame, int, int]:
-    """The load's keys that the target lacks, written once; with their number and the number of the others."""
+def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys, path: str) -> tuple[DataFrame, int, int]:
+    """The load's keys that the target lacks, written once to ``path``; with their number and the number of the others."""
     keys = list(keys)
     spark = keys_of_load.sparkSession
-    path = scratch_path(spark, "keys")
     left = keys_of_load.select(*keys).distinct()
     mark = existing.select(*keys, F.lit(True).alias("_there")).distinct()
     obs = Observation()
@@ -84,17 +83,20 @@ def insert_ignore_into(spark: SparkSession, new: DataFrame, target: str, keys, *
     """
     keys = list(keys)
     have = read_table(spark, target)
-    clashing = 0
     cand = first_wins(new, keys, order_by) if dedup else new
-    if have is not None:
-        check_columns(new, have)
-        if span is None:
-            r = new.agg(F.min(partition_col), F.max(partition_col)).first()
-            span = (r[0], r[1])
-        fresh, n_fresh, clashing = new_keys(new, restrict_to(have, *span, partition_col), keys)
+    if have is None:
+        return {"appended": append_partitioned(cand, target, order_within, partition_col), "existing_keys": 0}
+    check_columns(new, have)
+    if span is None:
+        r = new.agg(F.min(partition_col), F.max(partition_col)).first()
+        span = (r[0], r[1])
+    path = scratch_path(spark, "keys")
+    try:
+        fresh, n_fresh, clashing = new_keys(new, restrict_to(have, *span, partition_col), keys, path)
         if not n_fresh:
             return {"appended": 0, "existing_keys": clashing}
         if clashing:
             cand = cand.join(fresh, keys, "left_semi")
-    appended = append_partitioned(cand, target, order_within, partition_col)
-    return {"appended": appended, "existing_keys": clashing}
+        return {"appended": append_partitioned(cand, target, order_within, partition_col), "existing_keys": clashing}
+    finally:
+        delete_path(spark, path)

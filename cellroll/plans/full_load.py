@@ -73,8 +73,13 @@ def stage_feed(spark: SparkSession, paths, spec: FeedSpec, out: str, on_error: s
     on_error='raise' fails the job at the first bad line instead.
     ``totals`` receives n_lines / n_rejects observed during the write.
     """
-    parsed = parse_lines(read_lines(spark, paths, header=spec.header, line_sep=spec.line_sep), spec)
-    parsed, obs = observe_totals(parsed)
+    return stage_lines(read_lines(spark, paths, header=spec.header, line_sep=spec.line_sep), spec, out, on_error, totals)
+
+
+def stage_lines(lines: DataFrame, spec: FeedSpec, out: str, on_error: str = "raise", totals: dict | None = None) -> DataFrame:
+    """``stage_feed`` for lines that are read already (value, source_file)."""
+    spark = lines.sparkSession
+    parsed, obs = observe_totals(parse_lines(lines, spec))
     bad = is_bad()
     if on_error == "raise":
         parsed = stop_at_bad(parsed)
@@ -165,6 +170,13 @@ def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path
         if rep.qual_duplicates:
             qual = resolve_duplicates(qual)
 
+    join_and_publish(spark, counter, qual, counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep)
+    return rep
+
+
+def join_and_publish(spark, counter: DataFrame, qual: DataFrame, counter_spec: FeedSpec, qual_spec: FeedSpec,
+                     hourly_path: str, daily_path: str, mode: str, work: str, rep: LoadReport) -> None:
+    """Join two checked feeds (unique keys) and publish what pairs: hourly, then daily by ``mode``."""
     qual_metrics = [c for c in qual_spec.column_names if c not in set(counter_spec.column_names)]
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
     # rows, first and last date of the load, observed while it is written
@@ -205,7 +217,6 @@ def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path
             overwrite_partitions(rows, daily_path, daily_order())
             rep.recomputed = touched.count()
             rep.recomputed_dates = [r[0] for r in touched.orderBy(PARTITION_COL).limit(REPORT_DATES).collect()]
-    return rep
 
 
 def audit(spark: SparkSession, work: str, counter_spec: FeedSpec, qual_spec: FeedSpec) -> DataFrame:

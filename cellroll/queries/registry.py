@@ -14,6 +14,7 @@ from ..functions.keys import cell_key, cell_key_text
 from ..functions.text import field, reshape_line, split_fields
 from ..functions.time import day_of, time_bucket
 from ..operators.combine import feed_join, feed_join_audit, unmatched_keys
+from ..operators.exact import exact_daily_rollup, exact_sums
 from ..operators.publish import first_wins, insert_ignore
 from ..operators.quality import cell_key_collisions, duplicate_keys, quality_report
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
@@ -24,6 +25,7 @@ from ..session import scratch_path, tune_wide
 from ..sinks.tables import write_staging
 from ..sources.feed import load_feed, parse_lines
 from ..sources.lines import read_lines
+from ..streaming.backlog import backlog_report, load_arrivals
 from ..streaming.incremental import run_incremental, write_manifest
 from . import feeds as fx
 
@@ -457,6 +459,51 @@ def q_incremental_daily(spark, sf):
     return _daily(spark, daily)
 
 
+# sums of these have no round values; both engines compute the same doubles
+EXACT = {"price": "l_extendedprice", "net": "l_extendedprice * (1 - l_discount)", "small": "l_discount * l_tax", "signed": "(l_tax - 0.04) * l_quantity"}
+
+
+def q_exact_sums(spark, sf):
+    """Sums of doubles, every bit of them: no rounding here or in the SQL."""
+    rows = _li(spark, sf).selectExpr("l_returnflag", "year(l_shipdate) as year", *[f"{x} as {m}" for m, x in EXACT.items()])
+    return exact_sums(rows, ["l_returnflag", "year"], list(EXACT))
+
+
+def q_daily_rollup_exact(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    return exact_daily_rollup(feed_join(fx.counter_rows(ev), fx.qual_rows(ev), ("resulttime", KEY_COL), fx.QUAL_METRICS), fx.ALL_METRICS)
+
+
+def _arrivals(spark, sf):
+    """Half-day feeds in three steps, partners apart: counter 1st half and qual 2nd half; counter 2nd half;
+    qual 1st half with a repeat of counter 1st half.  Returns the hourly and daily targets."""
+    hourly, daily = _targets(spark)
+    backlog = scratch_path(spark, "arrivals")
+    steps = [("counter", 0, "qual", 1), ("counter", 1, None, None), ("counter", 0, "qual", 0)]
+    nothing = spark.createDataFrame([], "value string, source_file string")
+    for batch, (cf, cp, qf, qp) in enumerate(steps):
+        counter, qual = (read_lines(spark, fx.export_feed(spark, sf, f, p)) if f else nothing for f, p in ((cf, cp), (qf, qp)))
+        load_arrivals(spark, counter, qual, batch, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
+                      hourly_path=hourly, daily_path=daily, backlog=backlog)
+    return hourly, daily, backlog
+
+
+def q_backlog_hourly(spark, sf):
+    hourly, _, _ = _arrivals(spark, sf)
+    return spark.read.parquet(hourly).select(*_hourly_cols())
+
+
+def q_backlog_daily(spark, sf):
+    _, daily, _ = _arrivals(spark, sf)
+    return _daily(spark, daily)
+
+
+def q_backlog_waiting(spark, sf):
+    """What never found its partner, by feed and day."""
+    _, _, backlog = _arrivals(spark, sf)
+    return backlog_report(spark, backlog, fx.COUNTER_SPEC, fx.QUAL_SPEC).select("feed", "date", "rows")
+
+
 QUERIES = {
     "load_lines_comma": q_load_lines_comma,
     "load_lines_tab": q_load_lines_tab,
@@ -499,6 +546,11 @@ QUERIES = {
     "daily_late_ignore": q_daily_late_ignore,
     "daily_late_recompute": q_daily_late_recompute,
     "incremental_daily": q_incremental_daily,
+    "exact_sums": q_exact_sums,
+    "daily_rollup_exact": q_daily_rollup_exact,
+    "backlog_hourly": q_backlog_hourly,
+    "backlog_daily": q_backlog_daily,
+    "backlog_waiting": q_backlog_waiting,
 }
 
 
@@ -575,6 +627,18 @@ def _late_recompute_sql():
     return f"SELECT * FROM {fx.sql_daily(both)}"
 
 
+def _exact(x: str) -> str:
+    """The double nearest to a sum of doubles: summed as whole numbers of 2**-70, put back through decimal text."""
+    return f"CAST(CAST(sum(CAST({x} * pow(2, 70) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 70)"
+
+
+def _waiting_sql():
+    sides = {"counter": (fx.sql_counter(), fx.sql_qual()), "qual": (fx.sql_qual(), fx.sql_counter())}
+    parts = [f"SELECT '{feed}' AS feed, resulttime FROM {own} a WHERE NOT EXISTS (SELECT 1 FROM {other} b "
+             "WHERE b.unique_id = a.unique_id AND b.resulttime = a.resulttime)" for feed, (own, other) in sides.items()]
+    return f"SELECT feed, CAST(resulttime AS DATE) AS date, count(*) AS rows FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL"
+
+
 ORACLES = {
     "load_lines_comma": "SELECT * FROM lineitem",
     "load_lines_tab": "SELECT * FROM lineitem",
@@ -657,4 +721,10 @@ ORACLES = {
     "daily_late_ignore": _late_ignore_sql(),
     "daily_late_recompute": _late_recompute_sql(),
     "incremental_daily": _late_ignore_sql(),
+    "exact_sums": "SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, " + ", ".join(f"{_exact(f'({x})')} AS {m}" for m, x in EXACT.items()) + " FROM lineitem GROUP BY ALL",
+    "daily_rollup_exact": (f"SELECT CAST(resulttime AS DATE) AS date, {KEY_COL}, {fx.DIMS_SQL}, "
+                           + ", ".join(f"{_exact(m)} AS {m}" for m in fx.ALL_METRICS) + f" FROM {fx.sql_lastday()} GROUP BY ALL"),
+    "backlog_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
+    "backlog_daily": _late_recompute_sql(),
+    "backlog_waiting": _waiting_sql(),
 }

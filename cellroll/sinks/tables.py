@@ -119,10 +119,13 @@ def write_staging(df: DataFrame, path: str, truncate: bool = True) -> None:
     df.write.mode("overwrite" if truncate else "append").parquet(path)
 
 
-def read_recent(spark: SparkSession, path: str, since, col: str = PARTITION_COL) -> DataFrame:
-    """Rows of a date-partitioned table from ``since`` (a date) on.
+def read_recent(spark: SparkSession, target: str, since, col: str = PARTITION_COL) -> DataFrame:
+    """Rows of a date-partitioned table (path or name) from ``since`` (a date) on.
 
     The literal bound reaches PartitionFilters, so older date folders are not
     listed or read.
     """
-    return spark.read.parquet(path).filter(F.col(col) >= F.lit(since))
+    have = read_table(spark, target)
+    if have is None:
+        raise ValueError(f"{target} holds no rows yet")
+    return have.filter(F.col(col) >= F.lit(since))

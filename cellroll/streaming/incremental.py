@@ -46,17 +46,16 @@ def write_manifest(spark: SparkSession, folder: str, pairs, seq: int) -> str:
     return str(path)
 
 
-MAX_PAIRS = 10_000  # manifest lines that one micro-batch may bring
-
-
 def _pairs(batch: DataFrame):
-    """(counter file, qual file) of each line, in the order of the manifests and their lines."""
+    """(counter file, qual file) of each line, in the order of the manifests and their lines.
+
+    Lines come to the driver one partition of the sort at a time, however
+    many a manifest has.
+    """
     parts = F.split(F.col("value"), "\t")
     lines = batch.filter(F.length("value") > 0).select(F.col("file"), F.monotonically_increasing_id().alias("row"), parts[0].alias("c"), parts[1].alias("q"))
-    rows = lines.limit(MAX_PAIRS + 1).collect()
-    if len(rows) > MAX_PAIRS:
-        raise ValueError(f"a micro-batch holds more than {MAX_PAIRS} pairs; lower max_files_per_trigger")
-    return [(r.c, r.q) for r in sorted(rows, key=lambda r: (r.file, r.row))]
+    for r in lines.orderBy("file", "row").toLocalIterator():
+        yield r.c, r.q
 
 
 def run_incremental(spark: SparkSession, manifest_dir: str, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
