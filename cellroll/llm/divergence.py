@@ -27,7 +27,7 @@ from .fingerprints import PACKED, counted, frequent, has, joined, n_ranges, name
 from .repeats import batch
 from .tables import saved
 
-BLOCK = 8 << 20
+BLOCK = 3 << 20
 SCALE = 1_000_000_000
 TERMS = 4096  # terms of a block, about
 TILE = 64  # sources of a tile, about

@@ -25,7 +25,7 @@ from .fingerprints import PACKED, counted, frequent, gathered, has, joined, n_ra
 from .repeats import batch
 from .tables import saved
 
-BLOCK = 8 << 20
+BLOCK = 3 << 20
 SALTS = 16  # parts of a language that are ranked by themselves before the last ranking
 # Bytes that end a piece.
 PIECE_ENDS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E)))
