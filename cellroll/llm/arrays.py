@@ -7,6 +7,7 @@ single longer text is a block of its own), so memory per task stays bounded.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import islice
 
@@ -22,6 +23,23 @@ BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.ui
 _POWERS: dict[int, np.ndarray] = {}
 
 
+def _trim():
+    """glibc's malloc_trim, or nothing where there is none."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+_malloc_trim = _trim()
+
+
+def free_memory() -> None:
+    """Give freed memory back to the system: Python workers go from one stage to the next and would keep it."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer, so that close inputs give unrelated outputs."""
     x = x ^ (x >> np.uint64(32))
@@ -46,6 +64,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) for runs of rows of about ``limit`` bytes; NULL text is empty."""
+    free_memory()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:

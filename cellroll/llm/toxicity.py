@@ -34,7 +34,8 @@ EPOCHS, BATCH, RATE, LEAST_STEPS = 8, 64, 0.02, 150
 PAD = 5  # empty words that every text counts besides its own: few words give no certainty
 DECAY = 3e-4
 THRESHOLD = 0.7
-WORDS_KEPT = 800_000
+WORDS_KEPT = 400_000  # some 60 MB in a worker
+GROUP = 2 << 20  # bytes of text that are cut into words at a time
 
 
 @dataclass
@@ -56,7 +57,7 @@ def train(texts: list[bytes], labels: np.ndarray, shares: tuple[float, float], s
     """Joint training of bucket embeddings and softmax; ``shares`` are the labels' shares in the whole."""
     rng = np.random.default_rng(seed)
     index = WordIndex(1 << 60)
-    split = [list(set(x.split())) for x in texts]
+    split = [list(dict.fromkeys(x.split())) for x in texts]
     rows = index.rows(list(chain.from_iterable(split)))
     words = plain_words(index.fresh())
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])])
@@ -104,7 +105,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS) -> Mod
     """Train on at most ``rows`` rows of each label, those with the smallest hash of their id, none held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
-    known = known.where(~held_out()).select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
+    known = known.where(~held_out()).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")  # labels of documents that are here
+    known = known.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if len(counts) < 2:
@@ -114,8 +116,6 @@ def learn(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS) -> Mod
     picked = known.where("toxic = 0").orderBy("h", "doc_id").limit(rows).union(known.where("toxic = 1").orderBy("h", "doc_id").limit(rows))
     ids = {r["doc_id"]: r["toxic"] for r in picked.select("doc_id", "toxic").collect()}
     sample = docs.where(F.col("doc_id").isin(list(ids))).groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
-    if not sample:
-        return Model(np.zeros(BUCKETS), float(np.log(counts[1] / counts[0])))
     y = np.array([ids[r["doc_id"]] for r in sample])
     return train([(r["text"] or "").encode() for r in sample], y, (counts[0] / total, counts[1] / total))
 
@@ -125,10 +125,10 @@ def scorer(model: Model):
 
     def run(batches, text_col: str):
         index, known = WordIndex(WORDS_KEPT), np.zeros(0)
-        for part, texts in text_groups(batches, text_col):
+        for part, texts in text_groups(batches, text_col, GROUP):
             if index.full():
                 known = np.zeros(0)
-            split = [list(set(x.split())) for x in texts]
+            split = [list(dict.fromkeys(x.split())) for x in texts]
             rows = index.rows(list(chain.from_iterable(split)))
             if new := index.fresh():
                 known = np.concatenate([known, model.words(new)])

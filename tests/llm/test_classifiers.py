@@ -152,3 +152,31 @@ def test_language_odd_rows_and_switches(spark):
     assert got[103][0][0] == "aa" and 0.6 < got[103][0][1] < 0.9 and got[None][0][0] == "bb" and got[104][0][0] == "aa"
     none = langid_crf.language(df.withColumn("lang", df.lang.substr(0, 0)).where("false"))
     assert none.count() == 0
+
+
+def test_labels_of_absent_documents_change_nothing(spark):
+    """Labels may cover more than the documents: those of others neither fill the sample nor move the shares."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    more = labels.unionByName(spark.range(10**6, 10**6 + 20_000).selectExpr("id as doc_id", "1L as quality", "cast(id % 2 as bigint) as toxic"), allowMissingColumns=True)
+    one, two = (toxicity.learn(docs.select("doc_id", "text"), x, rows=100) for x in (labels.select("doc_id", "quality", "toxic"), more.select("doc_id", "quality", "toxic")))
+    assert one.bias == two.bias and (one.weight == two.weight).all()
+
+
+def test_scores_are_plain_means(spark):
+    """The scorer against its definition, one word and one n-gram at a time; and the same bits in every process."""
+    import numpy as np
+
+    from cellroll.llm.subwords import grams, plain_words
+
+    model = toxicity.Model(np.random.default_rng(4).normal(0, 1, toxicity.BUCKETS), -1.5)
+    texts = ["", "  ", "Foo bar foo, baz!", "é 12 -- x", "word " * 50 + "other"]
+    table = pa.record_batch({"text": pa.array([*texts, None])})
+    got = np.concatenate([p for _, p in toxicity.scorer(model)(iter([table]), "text")])
+    for text, score in zip([*texts, ""], got, strict=True):
+        words = list(dict.fromkeys(text.encode().split()))
+        shares = []
+        for w in words:
+            buckets, _ = grams(plain_words([w]), toxicity.LOW, toxicity.HIGH, toxicity.BUCKETS)
+            shares.append(model.weight[buckets].mean() if len(buckets) else 0.0)
+        want = 1 / (1 + np.exp(-(model.bias + toxicity.SCALE * sum(shares) / (len(words) + toxicity.PAD))))
+        assert abs(score - want) < 1e-12
