@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.keys import cell_key, cell_key_text
 from ..functions.text import field, reshape_line, split_fields
 from ..functions.time import day_of, time_bucket
+from ..operators.cells import as_of, cell_intervals, conflict_names
 from ..operators.combine import feed_join, feed_join_audit, unmatched_keys
 from ..operators.exact import exact_daily_rollup, exact_sums
+from ..operators.newest import newest_rows
 from ..operators.publish import first_wins, insert_ignore
 from ..operators.quality import cell_key_collisions, duplicate_keys, quality_report
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
@@ -474,6 +476,32 @@ def q_daily_rollup_exact(spark, sf):
     return exact_daily_rollup(feed_join(fx.counter_rows(ev), fx.qual_rows(ev), ("resulttime", KEY_COL), fx.QUAL_METRICS), fx.ALL_METRICS)
 
 
+def _renamed(spark, sf):
+    return fx.counter_rows(fx.table(spark, sf, "events"), renamed=True)
+
+
+def q_cell_intervals(spark, sf):
+    return cell_intervals(_renamed(spark, sf))
+
+
+def q_daily_conflict_names(spark, sf):
+    return conflict_names(_renamed(spark, sf))
+
+
+def q_cells_as_of(spark, sf):
+    """Quality rows with the name their cell had in the counter feed at that hour."""
+    rows = fx.qual_rows(fx.table(spark, sf, "events")).select("resulttime", KEY_COL, "q_n")
+    return as_of(rows, cell_intervals(_renamed(spark, sf)), ["cellname"])
+
+
+def q_newest_rows(spark, sf):
+    """The three newest hours of every cell in the hourly table."""
+    hourly, daily = _targets(spark)
+    _load(spark, sf, hourly, daily)
+    cells = spark.read.parquet(hourly).select(KEY_COL).distinct()
+    return newest_rows(spark, hourly, cells, 3).select(*_hourly_cols())
+
+
 def _arrivals(spark, sf):
     """Half-day feeds in three steps, partners apart: counter 1st half and qual 2nd half; counter 2nd half;
     qual 1st half with a repeat of counter 1st half.  Returns the hourly and daily targets."""
@@ -546,6 +574,10 @@ QUERIES = {
     "daily_late_ignore": q_daily_late_ignore,
     "daily_late_recompute": q_daily_late_recompute,
     "incremental_daily": q_incremental_daily,
+    "cell_intervals": q_cell_intervals,
+    "daily_conflict_names": q_daily_conflict_names,
+    "cells_as_of": q_cells_as_of,
+    "newest_rows": q_newest_rows,
     "exact_sums": q_exact_sums,
     "daily_rollup_exact": q_daily_rollup_exact,
     "backlog_hourly": q_backlog_hourly,
@@ -627,6 +659,13 @@ def _late_recompute_sql():
     return f"SELECT * FROM {fx.sql_daily(both)}"
 
 
+def _intervals_sql():
+    return (f"(SELECT *, lead(valid_from) OVER (PARTITION BY unique_id ORDER BY valid_from) AS valid_to FROM ("
+            f"SELECT unique_id, {fx.DIMS_SQL}, min(resulttime) AS valid_from, max(resulttime) AS last_seen, count(*) AS hours FROM ("
+            f"SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY resulttime) - row_number() OVER (PARTITION BY unique_id, {fx.DIMS_SQL} ORDER BY resulttime) AS run "
+            f"FROM {fx.sql_counter(renamed=True)}) GROUP BY unique_id, {fx.DIMS_SQL}, run))")
+
+
 def _exact(x: str) -> str:
     """The double nearest to a sum of doubles: summed as whole numbers of 2**-70, put back through decimal text."""
     return f"CAST(CAST(sum(CAST({x} * pow(2, 70) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 70)"
@@ -721,6 +760,12 @@ ORACLES = {
     "daily_late_ignore": _late_ignore_sql(),
     "daily_late_recompute": _late_recompute_sql(),
     "incremental_daily": _late_ignore_sql(),
+    "cell_intervals": f"SELECT unique_id, {fx.DIMS_SQL}, valid_from, valid_to, last_seen, hours FROM {_intervals_sql()}",
+    "daily_conflict_names": (f"WITH one AS (SELECT CAST(resulttime AS DATE) AS date, unique_id, {fx.DIMS_SQL}, min(resulttime) AS first_hour, max(resulttime) AS last_hour, count(*) AS hours "
+                             f"FROM {fx.sql_counter(renamed=True)} GROUP BY ALL) SELECT * FROM one QUALIFY count(*) OVER (PARTITION BY date, unique_id) > 1"),
+    "cells_as_of": (f"SELECT q.resulttime, q.unique_id, q.q_n, i.cellname FROM {fx.sql_qual()} q LEFT JOIN {_intervals_sql()} i "
+                    "ON i.unique_id = q.unique_id AND q.resulttime >= i.valid_from AND (i.valid_to IS NULL OR q.resulttime < i.valid_to)"),
+    "newest_rows": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()} QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY resulttime DESC) <= 3",
     "exact_sums": "SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, " + ", ".join(f"{_exact(f'({x})')} AS {m}" for m, x in EXACT.items()) + " FROM lineitem GROUP BY ALL",
     "daily_rollup_exact": (f"SELECT CAST(resulttime AS DATE) AS date, {KEY_COL}, {fx.DIMS_SQL}, "
                            + ", ".join(f"{_exact(m)} AS {m}" for m in fx.ALL_METRICS) + f" FROM {fx.sql_lastday()} GROUP BY ALL"),
