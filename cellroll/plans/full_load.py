@@ -32,6 +32,7 @@ from ..session import delete_path, scratch_path, tune_wide
 from ..sinks.tables import PARTITION_COL, overwrite_partitions, read_table, restrict_to
 from ..sources.feed import REJECT_COL, is_bad, observe_totals, parse_lines, stop_at_bad
 from ..sources.lines import read_lines
+from .delta import load_fingerprint, publish_delta
 
 def hourly_order():
     """Newest hour first inside each date's files."""
@@ -126,13 +127,16 @@ def _duplicates(counter: DataFrame, qual: DataFrame) -> tuple[int, int]:
 
 def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
              hourly_path: str, daily_path: str, mode: str = "ignore", on_error: str = "raise",
-             work: str | None = None, cleanup: bool = True) -> LoadReport:
+             work: str | None = None, cleanup: bool = True, ledger: str | None = None, load_id: str | None = None) -> LoadReport:
     """Load one pair of feed exports and publish them.
 
     mode='ignore'    (as the original): a daily row, once written, is never
                      changed; late hours reach hourly only.
     mode='recompute': the daily rows of every date the load touches are
                      rebuilt from hourly after it is published.
+    mode='delta':    the same daily rows as 'recompute', from this load's new rows
+                     and the totals so far in the folder ``ledger`` (see
+                     ``plans.delta``); ``load_id`` names the load.
     on_error='raise': bad lines or duplicate keys in a feed stop the load
                      before anything is published.
     on_error='reject': bad lines are kept in the staged ``status=reject`` rows,
@@ -141,18 +145,22 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     cleanup: remove the staged tables at the end, also after a failed load;
              pass False to look at them (``reject_rows``, ``audit``).
     """
-    if mode not in ("ignore", "recompute"):
-        raise ValueError("mode must be 'ignore' or 'recompute'")
+    if mode not in ("ignore", "recompute", "delta"):
+        raise ValueError("mode must be 'ignore', 'recompute' or 'delta'")
+    if (mode == "delta") != (ledger is not None):
+        raise ValueError("mode 'delta' needs a ledger, the other modes have none")
     tune_wide(spark, len(counter_spec.columns) + len(qual_spec.columns))
     work = work or scratch_path(spark, "load")
+    if mode == "delta" and load_id is None:
+        load_id = load_fingerprint(spark, counter_paths, qual_paths)
     try:
-        return _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work)
+        return _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id)
     finally:
         if cleanup:
             delete_path(spark, work)
 
 
-def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work) -> LoadReport:
+def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id) -> LoadReport:
     rep = LoadReport(work=work)
     ct, qt = {}, {}
     counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error, ct)
@@ -170,12 +178,13 @@ def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path
         if rep.qual_duplicates:
             qual = resolve_duplicates(qual)
 
-    join_and_publish(spark, counter, qual, counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep)
+    join_and_publish(spark, counter, qual, counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep, ledger, load_id)
     return rep
 
 
 def join_and_publish(spark, counter: DataFrame, qual: DataFrame, counter_spec: FeedSpec, qual_spec: FeedSpec,
-                     hourly_path: str, daily_path: str, mode: str, work: str, rep: LoadReport) -> None:
+                     hourly_path: str, daily_path: str, mode: str, work: str, rep: LoadReport,
+                     ledger: str | None = None, load_id: str | None = None) -> None:
     """Join two checked feeds (unique keys) and publish what pairs: hourly, then daily by ``mode``."""
     qual_metrics = [c for c in qual_spec.column_names if c not in set(counter_spec.column_names)]
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
@@ -190,6 +199,9 @@ def join_and_publish(spark, counter: DataFrame, qual: DataFrame, counter_spec: F
     metrics = [c for c in load.columns if c not in set(HOURLY_KEYS)]
 
     hourly_new = load.withColumn("date", day_of(TIME_COL))
+    if mode == "delta":
+        rep.hourly_appended, rep.recomputed = publish_delta(spark, hourly_new, span, hourly_path, daily_path, ledger, load_id, work, hourly_order())
+        return
     # Within one load the keys are unique (checked or resolved above), so no
     # first-wins pass is needed before the anti-join.
     got = insert_ignore_into(spark, hourly_new, hourly_path, HOURLY_UNIQUE, dedup=False,

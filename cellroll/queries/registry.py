@@ -308,11 +308,11 @@ def q_wide_rollup(spark, sf):
 
 # ------------------------------------------------------- publish to tables
 
-def _load(spark, sf, hourly, daily, part=None, mode="ignore"):
+def _load(spark, sf, hourly, daily, part=None, mode="ignore", **kw):
     c = fx.export_feed(spark, sf, "counter", part)
     q = fx.export_feed(spark, sf, "qual", part)
     return run_load(spark, c, q, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC,
-                    hourly_path=hourly, daily_path=daily, mode=mode)
+                    hourly_path=hourly, daily_path=daily, mode=mode, **kw)
 
 
 def _targets(spark):
@@ -449,6 +449,15 @@ def q_daily_late_recompute(spark, sf):
     return _daily(spark, daily)
 
 
+def q_daily_late_delta(spark, sf):
+    """The rows of ``daily_late_recompute``, each load added to the totals so far; the first one is sent twice."""
+    hourly, daily = _targets(spark)
+    ledger = scratch_path(spark, "ledger")
+    for part in (0, 1, 0):
+        _load(spark, sf, hourly, daily, part=part, mode="delta", ledger=ledger)
+    return _daily(spark, daily)
+
+
 def q_incremental_daily(spark, sf):
     """The two half-day loads of ``daily_late_ignore``, driven by a manifest stream."""
     hourly, daily = _targets(spark)
@@ -573,6 +582,7 @@ QUERIES = {
     "load_skip_header_blank": q_load_skip_header_blank,
     "daily_late_ignore": q_daily_late_ignore,
     "daily_late_recompute": q_daily_late_recompute,
+    "daily_late_delta": q_daily_late_delta,
     "incremental_daily": q_incremental_daily,
     "cell_intervals": q_cell_intervals,
     "daily_conflict_names": q_daily_conflict_names,
@@ -759,6 +769,7 @@ ORACLES = {
     "replay_idempotent": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "daily_late_ignore": _late_ignore_sql(),
     "daily_late_recompute": _late_recompute_sql(),
+    "daily_late_delta": _late_recompute_sql(),
     "incremental_daily": _late_ignore_sql(),
     "cell_intervals": f"SELECT unique_id, {fx.DIMS_SQL}, valid_from, valid_to, last_seen, hours FROM {_intervals_sql()}",
     "daily_conflict_names": (f"WITH one AS (SELECT CAST(resulttime AS DATE) AS date, unique_id, {fx.DIMS_SQL}, min(resulttime) AS first_hour, max(resulttime) AS last_hour, count(*) AS hours "
