@@ -13,6 +13,7 @@ from .jaccard_join import join_report
 from .langid_crf import language
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
+from .oracles import jaccard_sql, substring_sql, suffix_sql
 from .phrases import collocations
 from .phrases import oracle_sql as phrases_sql
 from .substring_dedup import remove_earlier
@@ -107,6 +108,9 @@ ORACLES: dict[str, str] = {
       WHERE q.vec_id % 50 = 0),
     r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op3_jaccard_join": jaccard_sql(4, 85),
+    "op5_suffix_dedup": suffix_sql(400),
+    "op7_substring_dedup": substring_sql(20),
     "op10_license_scan": license_sql(),
     "op11_phrases": phrases_sql(),
     "op12_divergence": DIVERGENCE_SQL,
