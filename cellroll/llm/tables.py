@@ -52,10 +52,30 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
     if not odd:
         return docs.select(F.col("doc_id").alias("d"), "doc_id", "text")
-    rows = saved(docs.withColumn("row", F.monotonically_increasing_id()), "keyed")
-    ids = rows.select("row", "doc_id", F.xxhash64("text").alias("h")).orderBy(F.col("doc_id").asc_nulls_first(), "h", "row")
-    numbered = saved(ids.rdd.zipWithIndex().map(lambda x: (x[0]["row"], x[1])).toDF("row long, d long"), "numbers")
-    return rows.join(numbered, "row").select("d", "doc_id", "text")
+    return numbered(docs, "d").select("d", "doc_id", "text")
+
+
+def numbered(docs: DataFrame, name: str, id_col: str = "doc_id") -> DataFrame:
+    """The rows with a number ``name`` that no two of them share and that sorts like (id, hash of the row), NULL ids first.
+
+    The rows are written once.  Their ids and hashes are sorted into ranges; a row's number is its place in its
+    range after the sizes of the ranges before it, and only these sizes (one for each range) reach the driver.
+    """
+    row = free_name(docs, "row_number")
+    hashed = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    order = [F.col("k").asc_nulls_first(), F.col("h"), F.col("row")]
+    ids = rows.select(F.col(row).alias("row"), F.col(id_col).alias("k"), hashed.alias("h")).repartitionByRange(*order).sortWithinPartitions(*order)
+    # the id holds the partition above bit 33 and the place in it below
+    ids = saved(ids.select("row", F.monotonically_increasing_id().alias("at")), "places")
+    ids = ids.select("row", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    before, sizes = 0, []
+    for r in ids.groupBy("part").count().orderBy("part").collect():
+        sizes.append((r["part"], before))
+        before += r["count"]
+    sizes = docs.sparkSession.createDataFrame(sizes, "part long, before long")
+    numbers = ids.join(F.broadcast(sizes), "part").select(F.col("row").alias(row), (F.col("before") + F.col("place")).alias(name))
+    return rows.join(numbers, row).drop(row)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -69,10 +89,11 @@ def free_name(df: DataFrame, name: str) -> str:
 def with_row_key(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
     """The rows and the name of a column without NULLs or repeats: the id where it is one, else a new column.
 
-    With a new column the rows are written once, as their numbers depend on how they are read.
+    A new column sorts like the id (see ``numbered``), so what counts as first or earlier is the same for all other
+    rows whether or not some id repeats.
     """
     odd = docs.groupBy(F.col(id_col).alias("k")).count().where("count > 1 or k is null").limit(1).count()
     if not odd:
         return docs, id_col
     key = free_name(docs, "row_key")
-    return saved(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+    return numbered(docs, key, id_col), key
