@@ -72,8 +72,9 @@ class Model:
         return out, has_letter(words)
 
 
-def marginals(emission: np.ndarray, size: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """Forward-backward: each text's sum of state probabilities over its words.
+def marginals(emission: np.ndarray, size: np.ndarray, step: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
+    """Forward-backward: each text's sum of state probabilities over its words; ``words``, an array of the shape of
+    ``emission``, receives those of every word.
 
     emission: one row a word, texts end to end; size: words of each text; step: exp of the transitions.  Long
     texts are cut into chunks; products of the chunks' matrices carry the states from chunk to chunk.  With more than
@@ -135,7 +136,10 @@ def marginals(emission: np.ndarray, size: np.ndarray, step: np.ndarray) -> np.nd
     for t in range(most - 1, -1, -1):
         k = int(active[t])
         g = forward[t] * back[:k]
-        sums[:k] += g / g.sum(axis=1, keepdims=True)
+        g /= g.sum(axis=1, keepdims=True)
+        sums[:k] += g
+        if words is not None:
+            words[begin[:k] + t] = g
         b = (back[:k] * emission[begin[:k] + t]) @ step.T
         back = np.concatenate([b / b.sum(axis=1, keepdims=True), back[k:]])
     np.add.at(total, doc[order], sums)
@@ -230,26 +234,31 @@ def learn(docs: DataFrame, *, rows: int = SAMPLE_ROWS) -> Model:
     return train([(r["text"] or "").encode() for r in sample], [r["lang"] for r in sample])
 
 
+def _scored(model: Model, batches):
+    """(batch slice, words of its texts as lists, which have a letter, emissions of those that have, words with letters of each text)."""
+    many = max(1, len(model.languages) / LANGUAGES)  # what is held grows with words x languages
+    index = WordIndex(int(WORDS_KEPT / many))
+    known, letter = np.zeros((0, len(model.languages))), np.zeros(0, bool)
+    for part, texts in text_groups(batches, limit=int(4 * BLOCK_BYTES / many)):
+        if index.full():
+            known, letter = known[:0], letter[:0]
+        split = [x.split() for x in texts]
+        rows = index.rows(list(chain.from_iterable(split)))
+        if new := index.fresh():
+            e, has = model.emissions(new)
+            known, letter = np.concatenate([known, e]), np.concatenate([letter, has])
+        own = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), np.int64, len(split)))
+        keep = letter[rows]
+        yield part, split, keep, known[rows[keep]], np.bincount(own[keep], minlength=len(split))
+
+
 def predictor(model: Model):
     languages = [*model.languages, UNKNOWN]
     step = np.exp(model.transition)
 
     def run(batches):
-        many = max(1, len(model.languages) / LANGUAGES)  # what is held grows with words x languages
-        index = WordIndex(int(WORDS_KEPT / many))
-        known, letter = np.zeros((0, len(model.languages))), np.zeros(0, bool)
-        for part, texts in text_groups(batches, limit=int(4 * BLOCK_BYTES / many)):
-            if index.full():
-                known, letter = known[:0], letter[:0]
-            split = [x.split() for x in texts]
-            rows = index.rows(list(chain.from_iterable(split)))
-            if new := index.fresh():
-                e, has = model.emissions(new)
-                known, letter = np.concatenate([known, e]), np.concatenate([letter, has])
-            own = np.repeat(np.arange(len(split)), np.fromiter(map(len, split), np.int64, len(split)))
-            keep = letter[rows]
-            size = np.bincount(own[keep], minlength=len(split))
-            mean = marginals(known[rows[keep]], size, step) / np.maximum(size, 1)[:, None]
+        for part, _, _, emission, size in _scored(model, batches):
+            mean = marginals(emission, size, step) / np.maximum(size, 1)[:, None]
             best = mean.argmax(axis=1)
             score = mean[np.arange(len(size)), best]
             best[size == 0], score[size == 0] = len(languages) - 1, 0.0
@@ -258,6 +267,57 @@ def predictor(model: Model):
     return run
 
 
+def spans_of(best: np.ndarray, score: np.ndarray, keep: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, first word, words, language, mean score) of the runs of words of one language in each text.
+
+    best, score: of the words with letters (``keep`` marks them among all words).  A word without a letter goes to
+    the run before it, at the beginning of a text to the first run; a text without letters has no run.
+    """
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = np.flatnonzero(keep)
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (best[1:] != best[:-1]) | (row[at[1:]] != row[at[:-1]])
+    first = np.flatnonzero(new)
+    text = row[at[first]]
+    head = np.ones(len(first), dtype=bool)
+    head[1:] = text[1:] != text[:-1]
+    begin = np.where(head, bounds[text], at[first])
+    last = np.append(head[1:], True)[: len(first)]
+    end = np.where(last, bounds[text + 1], np.append(at[first][1:], 0)[: len(first)])
+    count = np.diff(np.append(first, len(at)))
+    mean = np.add.reduceat(score, first) / count if len(first) else np.zeros(0)
+    return text, begin - bounds[text], end - begin, best[first], mean
+
+
+def language_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, spans: for every document an array of (first word, words, lang, score), the runs of words of one language.
+
+    The labels of the words of code-switched texts, from the same marginals as ``language``: each word's likeliest
+    language, and a run's score is its words' mean probability of it.  Words are counted from 0 between white
+    space.  NULL and empty texts and texts without letters have no span.
+    """
+    labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    model = learn(labelled, rows=rows)
+    kind = "array<struct<first: int, words: int, lang: string, score: double>>"
+    docs = id_text(docs, id_col, text_col)
+    if not model.languages:
+        return docs.select("doc_id", F.expr(f"cast(array() as {kind})").alias("spans"))
+    step = np.exp(model.transition)
+
+    def label(batches):
+        for part, split, keep, emission, size in _scored(model, batches):
+            words = np.zeros_like(emission)
+            marginals(emission, size, step, words)
+            best = words.argmax(axis=1)
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])])
+            text, first, n, lang, score = spans_of(best, words[np.arange(len(best)), best], keep, bounds)
+            cuts = np.searchsorted(text, np.arange(len(split) + 1)).astype(np.int32)
+            values = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array([model.languages[i] for i in lang.tolist()], pa.string()), pa.array(np.clip(score, 0, 1).astype(np.float64))], names=["first", "words", "lang", "score"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(cuts), values)], names=["doc_id", "spans"])
+
+    return docs.mapInArrow(label, f"doc_id long, spans {kind}")
+
+
 def language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score (0 to 1) of every document; held-out rows are not learned from."""
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))

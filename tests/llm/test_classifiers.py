@@ -180,3 +180,54 @@ def test_scores_are_plain_means(spark):
             shares.append(model.weight[buckets].mean() if len(buckets) else 0.0)
         want = 1 / (1 + np.exp(-(model.bias + toxicity.SCALE * sum(shares) / (len(words) + toxicity.PAD))))
         assert abs(score - want) < 1e-12
+
+
+def test_marginals_of_words():
+    """Each word's probabilities against all paths, in short texts and in such that are cut into chunks."""
+    rng = np.random.default_rng(8)
+    step = np.exp(rng.normal(0, 1, (3, 3)))
+    size = np.array([0, 1, 4, 0, langid_crf.CHUNK * 2 + 5, 3])
+    e = np.exp(rng.normal(0, 1, (size.sum(), 3)))
+    words = np.zeros_like(e)
+    total = langid_crf.marginals(e, size, step, words)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    assert np.allclose(words.sum(axis=1), 1) and np.allclose([words[a:b].sum(axis=0) for a, b in zip(bounds, bounds[1:], strict=False)], total)
+    import itertools
+
+    for a, n in ((1, 4), (bounds[5], 3)):
+        paths = list(itertools.product(range(3), repeat=n))
+        weight = np.array([np.prod([e[a + i, s] for i, s in enumerate(p)]) * np.prod([step[x, y] for x, y in itertools.pairwise(p)]) for p in paths])
+        for i in range(n):
+            want = [weight[[p[i] == s for p in paths]].sum() / weight.sum() for s in range(3)]
+            assert np.allclose(words[a + i], want)
+
+
+def test_spans_cover_the_words_of_texts_with_letters():
+    keep = np.array([0, 1, 1, 0, 1, 1, 0, 0, 0, 1], bool)
+    best, score = np.array([0, 0, 1, 1, 0]), np.array([0.5, 1.0, 0.6, 0.8, 0.9])
+    got = langid_crf.spans_of(best, score, keep, np.array([0, 7, 7, 8, 10]))
+    assert [x.tolist() for x in got[:4]] == [[0, 0, 3], [0, 4, 0], [4, 3, 2], [0, 1, 0]] and np.allclose(got[4], [0.75, 0.7, 0.9])
+    assert [len(x) for x in langid_crf.spans_of(best[:0], score[:0], keep[:0], np.array([0, 0]))] == [0] * 5
+
+
+def test_code_switched_texts(spark):
+    """Halves of documents of two languages put together: the words of each half get its language."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.where("length(text) between 400 and 1500").collect()]
+    by = {x: [r for r in rows if r["lang"] == x and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1][:8] for x in ("de", "en")}
+    mixed, truth = [], {}
+    for i, (a, b) in enumerate(zip(by["de"], by["en"], strict=False)):
+        left, right = a["text"].split()[:40], b["text"].split()[:40]
+        mixed.append((10**9 + 3 * i, " ".join(left + right), None))
+        truth[10**9 + 3 * i] = ["de"] * len(left) + ["en"] * len(right)
+    more = [(10**10, None, "de"), (10**10 + 1, "12 -- 7", None)]
+    out = langid_crf.language_spans(docs.unionByName(spark.createDataFrame(mixed + more, docs.schema)))
+    got = {r["doc_id"]: r["spans"] for r in out.where("doc_id >= 1000000000").collect()}
+    assert got[10**10] == [] and got[10**10 + 1] == [] and len(truth) >= 4
+    good = total = 0
+    for i, want in truth.items():
+        labels = [s["lang"] for s in got[i] for _ in range(s["words"])]
+        assert len(labels) == len(want) and [s["first"] for s in got[i]] == np.cumsum([0, *[s["words"] for s in got[i]]])[:-1].tolist()
+        good += sum(x == y for x, y in zip(labels, want, strict=True))
+        total += len(want)
+    assert good > 0.95 * total
