@@ -51,20 +51,22 @@ def packed(fps: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[pa.Reco
     if not len(at):
         return
     off = np.concatenate([at, [len(fps)]])
+    yield batch(range=at_range[at].astype(np.int32), fps=planes(fps, off), counts=planes(counts.astype(np.uint32), off))
 
-    def column(values):
-        # all first bytes of a row's numbers, then all second ones, ...: sorted numbers compress
-        size = values.dtype.itemsize
-        raw = values.view(np.uint8).reshape(-1, size)
-        values = np.concatenate([raw[a:b].T.ravel() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
-        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((off * size).astype(np.int32)), pa.py_buffer(values)])
 
-    yield batch(range=at_range[at].astype(np.int32), fps=column(np.ascontiguousarray(fps)), counts=column(np.ascontiguousarray(counts.astype(np.uint32))))
+def planes(values: np.ndarray, off: np.ndarray) -> pa.Array:
+    """values[off[i]:off[i + 1]] as binary: all first bytes of a row's numbers, then all second ones, ...; so close
+    numbers compress."""
+    size = values.dtype.itemsize
+    raw = values.view(np.uint8).reshape(-1, size)
+    data = np.concatenate([raw[a:b].T.ravel() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((off * size).astype(np.int32)), pa.py_buffer(data)])
 
 
-def unpacked(value: pa.Scalar, kind) -> np.ndarray:
+def unpacked(value, kind) -> np.ndarray:
+    """The numbers of a row of ``planes``, from its bytes."""
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(value.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 PACKED = "range int, fps binary, counts binary"
@@ -88,8 +90,8 @@ def frequent(rows: DataFrame, least: int) -> np.ndarray:
                     yield from merge(fps, counts)
                     fps, counts = [], []
                 last = r
-                fps.append(unpacked(f, np.uint64))
-                counts.append(unpacked(c, np.uint32).astype(np.int64))
+                fps.append(unpacked(f.as_buffer(), np.uint64))
+                counts.append(unpacked(c.as_buffer(), np.uint32).astype(np.int64))
         if fps:
             yield from merge(fps, counts)
 
@@ -141,6 +143,18 @@ def joined(data: np.ndarray, words: Words, first: np.ndarray, n: int) -> pa.Arra
     return pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(off), pa.py_buffer(np.append(data, np.uint8(32))[index])])
 
 
+def lines(data: np.ndarray, words: Words, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, ends): the texts of the n[i] words from word first[i] on, one space between words and a line end after each text."""
+    at = np.repeat(first, n) + ramp(n)
+    size = (words.end - words.start)[at] + 1
+    ends = np.cumsum(size)
+    index = np.repeat(words.start[at], size) + ramp(size)
+    index[ends - 1] = len(data)
+    last = np.cumsum(n) - 1
+    index[ends[last] - 1] = len(data) + 1
+    return np.concatenate([data, np.array([32, 10], np.uint8)])[index], ends[last]
+
+
 def name_hashes(names: list[str]) -> np.ndarray:
     """64-bit hashes of a few names, the same in every process."""
     out = []

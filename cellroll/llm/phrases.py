@@ -5,8 +5,8 @@ comes from two prefix sums.  For n = 1, 2, ... the fingerprints of a block are c
 those that reach the least count over all documents set bits of a fixed-size filter.  An n-gram is only looked at
 if both n-1-grams in it passed, as it can't be more frequent than they are.  Only fingerprints that passed are
 then materialised: every block compares their occurrences with the text at the first one (collisions are told
-apart there), and sends the phrase once with its count and the place of its first occurrence.  Spark sums by
-language and phrase, so counts are exact whatever the fingerprints do.
+apart there), and sends the phrase once with its count and the place of its first occurrence.  All blocks' phrases of one
+range of fingerprints meet and are summed by language and text, so counts are exact whatever the fingerprints do.
 
 Texts are cut at ``.,;:!?`` and line ends into pieces and those into words (anything between spaces and tabs); A-Z
 count as a-z; no phrase spans pieces.  NULL and empty texts have no words; a NULL language is ``und``.  Repeated
@@ -17,15 +17,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Rolling, Words, ascii_lower, blocks, mix, row_of
-from .fingerprints import PACKED, counted, frequent, gathered, has, joined, n_ranges, name_hashes, packed, word_numbers
+from .fingerprints import PACKED, counted, frequent, has, lines, n_ranges, name_hashes, packed, planes, unpacked, word_numbers
 from .repeats import batch
 from .tables import saved
 
 BLOCK = 3 << 20
+NO_ID = np.int64(2**63 - 1)  # stands for a NULL id: after all others
 SALTS = 16  # parts of a language that are ranked by themselves before the last ranking
 # Bytes that end a piece.
 PIECE_ENDS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E)))
@@ -116,24 +118,77 @@ def phrase_counts(docs: DataFrame, *, longest: int = 3, least: int = 10, id_col:
     def write(batches):
         bits = [x.value for x in sent]
         for part, off, grams in _blocks(batches):
-            ids = part.column("doc_id")
-            total = np.bincount(grams.lang[grams.row], minlength=len(grams.names)) if len(grams.row) else np.zeros(len(grams.names), np.int64)
-            k = len(grams.names)
-            yield batch(lang=pa.array(grams.names, pa.string()), n_words=np.zeros(k, np.int32), phrase=pa.array([""] * k, pa.string()), a=total.astype(np.int64), doc_id=pa.nulls(k, pa.int64()), at=np.zeros(k, np.int64))
-            for n in range(1, longest + 1):
-                fp, at = grams.passed(n, bits)
-                good = has(bits[n - 1], fp)
-                if not good.any():
-                    continue
-                first, count = grams.groups(fp[good], at[good], n)
-                row = grams.row[first]
-                lang = pa.DictionaryArray.from_arrays(pa.array(grams.lang[row].astype(np.int32)), pa.array(grams.names, pa.string())).cast(pa.string())
-                yield batch(lang=lang, n_words=np.full(len(first), n, np.int32), phrase=joined(grams.data, grams.words, first, n), a=count.astype(np.int64), doc_id=ids.take(pa.array(row)), at=(grams.words.start[first] - off[row]).astype(np.int64))
-
-    rows = docs.mapInArrow(write, "lang string, n_words int, phrase string, a long, doc_id long, at long")
-    # fixed-size buffers, so that this is a hash aggregate; a document's occurrences are all in one block
-    total = rows.groupBy("lang", "n_words", "phrase").agg(F.sum("a").alias("a"), F.min("doc_id").alias("first"), F.min_by("at", "doc_id").alias("at"))
-    return total.where(F.col("a") >= F.when(F.col("n_words") == 0, 0).otherwise(least)).select("lang", "n_words", "phrase", "a", F.col("first").alias("doc_id"), "at")
+            yield from _packed_phrases(part, off, grams, bits, ranges)
+
+    def merge(batches):
+        held, last = [], None
+        for rb in batches:
+            for row in rb.to_pylist():
+                if row["range"] != last and held:
+                    yield _merged(held, least)
+                    held = []
+                last = row["range"]
+                held.append(row)
+        if held:
+            yield _merged(held, least)
+
+    rows = docs.mapInArrow(write, "range int, lang string, phrases binary, counts binary, docs binary, places binary")
+    return rows.repartition("range").sortWithinPartitions("range").mapInArrow(merge, "lang string, n_words int, phrase string, a long, doc_id long, at long")
+
+
+def _packed_phrases(part: pa.RecordBatch, off: np.ndarray, grams: Grams, bits: list[np.ndarray], ranges: int):
+    """Rows of the phrases of a block, one for each language and range of fingerprints; first the numbers of all words."""
+    total = np.bincount(grams.lang[grams.row], minlength=len(grams.names)) if len(grams.row) else np.zeros(len(grams.names), np.int64)
+    each = np.arange(len(total) + 1)
+    place = ((grams.salt >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    yield batch(range=place.astype(np.int32), lang=pa.array(grams.names, pa.string()), phrases=pa.array([b"\n"] * len(total), pa.binary()), counts=planes(total.astype(np.uint32), each), docs=planes(np.full(len(total), NO_ID), each), places=planes(np.zeros(len(total), np.uint32), each))
+    found = []
+    for n in range(1, len(bits) + 1):
+        fp, at = grams.passed(n, bits)
+        good = has(bits[n - 1], fp)
+        if good.any():
+            first, count = grams.groups(fp[good], at[good], n)
+            of_word = np.zeros(len(grams.row), np.uint64)
+            of_word[at] = fp
+            found.append((first, np.full(len(first), n), count, ((of_word[first] >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)))
+    if not found:
+        return
+    first, n, count, place = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((grams.lang[grams.row[first]], place))
+    first, n, count, place = first[order], n[order], count[order], place[order]
+    row = grams.row[first]
+    lang = grams.lang[row]
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = (place[1:] != place[:-1]) | (lang[1:] != lang[:-1])
+    cuts = np.append(np.flatnonzero(new), len(first))
+    text, ends = lines(grams.data, grams.words, first, n)
+    text_cuts = np.concatenate([[0], ends])[cuts].astype(np.int32)
+    ids = part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)[row]
+    yield batch(
+        range=place[cuts[:-1]].astype(np.int32), lang=pa.array([grams.names[i] for i in lang[cuts[:-1]].tolist()], pa.string()),
+        phrases=pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(text_cuts), pa.py_buffer(text)]),
+        counts=planes(count.astype(np.uint32), cuts), docs=planes(ids, cuts), places=planes((grams.words.start[first] - off[row]).astype(np.uint32), cuts))
+
+
+def _merged(held: list[dict], least: int) -> pa.RecordBatch:
+    """The phrases of one range: packed rows of all blocks summed by language and text."""
+    text = np.frombuffer(b"".join(x["phrases"] for x in held), np.uint8)
+    off = np.concatenate([[0], np.flatnonzero(text == 10) + 1]).astype(np.int32)
+    phrase = pa.Array.from_buffers(pa.string(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(text)])
+    counts, docs, places = (np.concatenate([unpacked(x[name], kind) for x in held]) for name, kind in (("counts", np.uint32), ("docs", np.int64), ("places", np.uint32)))
+    size = [len(x["counts"]) // 4 for x in held]
+    lang = pa.array([x["lang"] for x in held], pa.string()).take(pa.array(np.repeat(np.arange(len(held)), size)))
+    rows = pa.table({"lang": lang, "phrase": phrase, "a": counts.astype(np.int64), "doc_id": docs, "at": places.astype(np.int64)})
+    # a document's occurrences are all in one block: the row of the smallest id has the first place
+    rows = rows.take(pa.array(np.argsort(docs, kind="stable")))
+    out = rows.group_by(["lang", "phrase"], use_threads=False).aggregate([("a", "sum"), ("doc_id", "first"), ("at", "first")])
+    spaces = pc.count_substring(out["phrase"], " ")
+    empty = pc.equal(out["phrase"], "\n")
+    out = out.append_column("n_words", pc.cast(pc.if_else(empty, 0, pc.add(spaces, 1)), pa.int32()))
+    out = out.filter(pc.or_(empty, pc.greater_equal(out["a_sum"], least))).combine_chunks()
+    ids = pc.if_else(pc.equal(out["doc_id_first"], NO_ID), pa.scalar(None, pa.int64()), out["doc_id_first"])
+    columns = {"lang": out["lang"], "n_words": out["n_words"], "phrase": pc.utf8_rtrim(out["phrase"], "\n"), "a": out["a_sum"], "doc_id": ids, "at": out["at_first"]}
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(x.chunks) if x.num_chunks else pa.array([], x.type) for x in columns.values()], names=list(columns))
 
 
 def whole(ratio_of: Column, part: Column, other: Column, scale: int) -> Column:
