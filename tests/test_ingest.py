@@ -156,3 +156,27 @@ def test_strict_value_forms(spark):
     got = {r.t: (r.d is not None, r.ts is not None) for r in df.select("t", typed_value(F.col("t"), "double").alias("d"), typed_value(F.col("t"), "timestamp").alias("ts")).collect()}
     assert {t for t in texts if got[t][0]} == {"1", "-2.5e3", ".5", "5.", " 7 ", "NaN", "-Infinity", "2018"}
     assert {t for t in texts if got[t][1]} == {"2018-08-01", "2018-08-01 10:00:00", "2018-08-01T10:00"}
+
+
+def test_header_lines_go_in_one_scan_without_exchange(spark, tmp_dir):
+    write_text(f"{tmp_dir}/in/a.csv", ["h", "1"])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (limit, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = read_lines(spark, f"{tmp_dir}/in", header=True)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert plan.count("FileScan text") == 1 and "Exchange" not in plan and "Join" not in plan
+        # the line itself isn't sent to Python
+        call = next(x for x in plan.splitlines() if "ArrowEvalPython" in x)
+        assert "first_rows(" in call and "value" not in call.split("first_rows(")[1].split(")")[0]
+
+
+def test_header_of_many_files_in_one_task(spark, tmp_dir):
+    for i in range(30):
+        write_text(f"{tmp_dir}/in/f{i:02d}.csv", [f"head{i}", *[f"{i}-{k}" for k in range(i % 4)]])
+    write_text(f"{tmp_dir}/in/empty.csv", [], end=False)
+    paths = [f"{tmp_dir}/in", f"{tmp_dir}/in"]
+    got = sorted(r.value for r in read_lines(spark, paths, header=True).collect())
+    assert got == sorted(f"{i}-{k}" for i in range(30) for k in range(i % 4))

@@ -145,3 +145,27 @@ def test_read_recent_prunes_dates(spark, tmp_dir):
     write_staging(df, f"{tmp_dir}/s")
     write_staging(df.limit(1), f"{tmp_dir}/s", truncate=True)
     assert spark.read.parquet(f"{tmp_dir}/s").count() == 1
+
+
+def test_no_key_folder_stays(spark, tmp_dir):
+    """The keys that an insert writes on the way are gone at its end, also when it fails."""
+    import os
+
+    import pytest
+
+    from cellroll.operators import publish
+    from cellroll.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file:")
+    rows = spark.range(10).selectExpr("cast(id as int) as k", "date'2018-08-01' as date", "id as v")
+    publish.insert_ignore_into(spark, rows.where("k < 5"), f"{tmp_dir}/t", ["k"])
+    assert publish.insert_ignore_into(spark, rows, f"{tmp_dir}/t", ["k"]) == {"appended": 5, "existing_keys": 5}
+    real = publish.append_partitioned
+    publish.append_partitioned = lambda *a: 1 / 0
+    try:
+        with pytest.raises(ZeroDivisionError):
+            publish.insert_ignore_into(spark, rows.selectExpr("k + 7 as k", "date", "v"), f"{tmp_dir}/t", ["k"])
+    finally:
+        publish.append_partitioned = real
+    keys = f"{root}/cellroll/keys"
+    assert not os.path.isdir(keys) or not os.listdir(keys)

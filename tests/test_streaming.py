@@ -39,3 +39,13 @@ def test_manifest_stream_loads_in_order_and_replays_harmlessly(spark, tmp_dir):
     run_incremental(spark, manifests, checkpoint=f"{tmp_dir}/ck", **kw)
     run_incremental(spark, manifests, checkpoint=f"{tmp_dir}/ck2", **kw)
     assert state() == first
+
+
+def test_a_manifest_of_any_length_in_its_order(spark, tmp_dir):
+    from cellroll.streaming.incremental import _pairs
+
+    pairs = [(f"c{i}", f"q{i}") for i in range(25_000)]
+    write_manifest(spark, f"{tmp_dir}/m", pairs[:100], 0)
+    write_manifest(spark, f"{tmp_dir}/m", pairs[100:], 1)
+    batch = spark.read.text(f"{tmp_dir}/m").selectExpr("value", "_metadata.file_path as file")
+    assert list(_pairs(batch)) == pairs
