@@ -56,10 +56,14 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
     return target.unionByName(added.select(*target.columns))
 
 
-def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys, path: str) -> tuple[DataFrame, int, int]:
-    """The load's keys that the target lacks, written once to ``path``; with their number and the number of the others."""
+def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys, path: str | None = None) -> tuple[DataFrame, int, int]:
+    """The load's keys that the target lacks, written once; with their number and the number of the others.
+
+    ``path``: where they are written, for the caller to remove (default: a fresh scratch folder).
+    """
     keys = list(keys)
     spark = keys_of_load.sparkSession
+    path = path or scratch_path(spark, "keys")
     left = keys_of_load.select(*keys).distinct()
     mark = existing.select(*keys, F.lit(True).alias("_there")).distinct()
     obs = Observation()
