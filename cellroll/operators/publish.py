@@ -22,7 +22,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path
-from ..sinks.tables import PARTITION_COL, append_partitioned, check_columns, read_table, restrict_to
+from ..sinks.sketches import add_to_sketch, build_sketch, maybe_there
+from ..sinks.tables import PARTITION_COL, append_partitioned, check_columns, read_table, restrict_to, table_exists
+
+# up to so many dates are named one by one to the scan, more as a range
+NAMED_DATES = 366
+
 
 def _order_cols(df: DataFrame, keys, order_by) -> list[Column]:
     if order_by is None:
@@ -73,9 +78,34 @@ def new_keys(keys_of_load: DataFrame, existing: DataFrame, keys, path: str | Non
     return spark.read.schema(left.schema).parquet(path), n - there, there
 
 
+def clashing_keys(new: DataFrame, target: DataFrame, sketch: DataFrame, keys, path: str,
+                  partition_col: str = PARTITION_COL) -> tuple[DataFrame, int]:
+    """The keys of ``new`` that the target holds, written once below ``path``, and their number.
+
+    The sketch says which may be there; only their dates are read, by key columns.
+    """
+    keys = list(keys)
+    spark = new.sparkSession
+    maybe = maybe_there(new, sketch, keys, partition_col)
+    maybe.write.parquet(f"{path}/maybe")
+    maybe = spark.read.schema(maybe.schema).parquet(f"{path}/maybe")
+    dates = [r[0] for r in maybe.select(partition_col).distinct().limit(NAMED_DATES + 1).collect()]
+    if not dates:
+        return maybe.select(*keys), 0
+    if len(dates) > NAMED_DATES:
+        low, high = maybe.agg(F.min(partition_col), F.max(partition_col)).first()
+        rows = restrict_to(target, low, high, partition_col)
+    else:
+        rows = target.where(F.col(partition_col).isin(dates))
+    obs = Observation()
+    there = maybe.select(*keys).join(rows.select(*keys), keys, "left_semi").observe(obs, F.count(F.lit(1)).alias("n"))
+    there.write.parquet(f"{path}/there")
+    return spark.read.schema(there.schema).parquet(f"{path}/there"), int(obs.get["n"])
+
+
 def insert_ignore_into(spark: SparkSession, new: DataFrame, target: str, keys, *, order_by=None,
                        order_within=None, partition_col: str = PARTITION_COL, dedup: bool = True,
-                       span=None) -> dict:
+                       span=None, sketch: str | None = None) -> dict:
     """Append the absent rows of ``new`` to the date-partitioned table ``target`` (path or name).
 
     ``new`` must carry ``partition_col`` and have the target's columns.
@@ -84,11 +114,16 @@ def insert_ignore_into(spark: SparkSession, new: DataFrame, target: str, keys, *
     ``new`` when the caller knows them (else they are computed).  Returns
     the rows appended (observed during the write) and the keys that already
     existed.  Safe to repeat: a second run appends nothing.
+
+    ``sketch``: folder of the table's key sketch (``sinks.sketches``), made
+    here if it is missing; only dates in which a key of ``new`` may be are read.
     """
     keys = list(keys)
     have = read_table(spark, target)
     cand = first_wins(new, keys, order_by) if dedup else new
     if have is None:
+        if sketch is not None:
+            add_to_sketch(cand, sketch, keys, partition_col)
         return {"appended": append_partitioned(cand, target, order_within, partition_col), "existing_keys": 0}
     check_columns(new, have)
     if span is None:
@@ -96,11 +131,21 @@ def insert_ignore_into(spark: SparkSession, new: DataFrame, target: str, keys, *
         span = (r[0], r[1])
     path = scratch_path(spark, "keys")
     try:
+        if sketch is not None:
+            if not table_exists(spark, sketch):
+                build_sketch(spark, target, sketch, keys, col=partition_col)
+            there, clashing = clashing_keys(new, have, restrict_to(read_table(spark, sketch), *span, partition_col), keys, path, partition_col)
+            if clashing:
+                cand = cand.join(there, keys, "left_anti")
+            add_to_sketch(cand, sketch, keys, partition_col)
+            return {"appended": append_partitioned(cand, target, order_within, partition_col), "existing_keys": clashing}
         fresh, n_fresh, clashing = new_keys(new, restrict_to(have, *span, partition_col), keys, path)
         if not n_fresh:
             return {"appended": 0, "existing_keys": clashing}
         if clashing:
-            cand = cand.join(fresh, keys, "left_semi")
+            # a key with a NULL equals no other, so such rows are new; it must find itself here
+            same = [cand[k].eqNullSafe(fresh[k]) for k in keys]
+            cand = cand.join(fresh, same, "left_semi")
         return {"appended": append_partitioned(cand, target, order_within, partition_col), "existing_keys": clashing}
     finally:
         delete_path(spark, path)

@@ -127,7 +127,8 @@ def _duplicates(counter: DataFrame, qual: DataFrame) -> tuple[int, int]:
 
 def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: FeedSpec, qual_spec: FeedSpec,
              hourly_path: str, daily_path: str, mode: str = "ignore", on_error: str = "raise",
-             work: str | None = None, cleanup: bool = True, ledger: str | None = None, load_id: str | None = None) -> LoadReport:
+             work: str | None = None, cleanup: bool = True, ledger: str | None = None, load_id: str | None = None,
+             sketch: str | None = None) -> LoadReport:
     """Load one pair of feed exports and publish them.
 
     mode='ignore'    (as the original): a daily row, once written, is never
@@ -142,6 +143,8 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
     on_error='reject': bad lines are kept in the staged ``status=reject`` rows,
                      duplicates resolved first-wins; both are counted.
     hourly_path, daily_path: folders, or names of catalog tables.
+    sketch: folder of hourly's key sketch (``sinks.sketches``): history dates
+             that can't hold a key of the load are not opened (not with 'delta').
     cleanup: remove the staged tables at the end, also after a failed load;
              pass False to look at them (``reject_rows``, ``audit``).
     """
@@ -149,18 +152,20 @@ def run_load(spark: SparkSession, counter_paths, qual_paths, *, counter_spec: Fe
         raise ValueError("mode must be 'ignore', 'recompute' or 'delta'")
     if (mode == "delta") != (ledger is not None):
         raise ValueError("mode 'delta' needs a ledger, the other modes have none")
+    if mode == "delta" and sketch is not None:
+        raise ValueError("mode 'delta' works without a sketch")
     tune_wide(spark, len(counter_spec.columns) + len(qual_spec.columns))
     work = work or scratch_path(spark, "load")
     if mode == "delta" and load_id is None:
         load_id = load_fingerprint(spark, counter_paths, qual_paths)
     try:
-        return _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id)
+        return _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id, sketch)
     finally:
         if cleanup:
             delete_path(spark, work)
 
 
-def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id) -> LoadReport:
+def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path, daily_path, mode, on_error, work, ledger, load_id, sketch) -> LoadReport:
     rep = LoadReport(work=work)
     ct, qt = {}, {}
     counter = stage_feed(spark, counter_paths, counter_spec, f"{work}/counter", on_error, ct)
@@ -178,13 +183,13 @@ def _load(spark, counter_paths, qual_paths, counter_spec, qual_spec, hourly_path
         if rep.qual_duplicates:
             qual = resolve_duplicates(qual)
 
-    join_and_publish(spark, counter, qual, counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep, ledger, load_id)
+    join_and_publish(spark, counter, qual, counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep, ledger, load_id, sketch)
     return rep
 
 
 def join_and_publish(spark, counter: DataFrame, qual: DataFrame, counter_spec: FeedSpec, qual_spec: FeedSpec,
                      hourly_path: str, daily_path: str, mode: str, work: str, rep: LoadReport,
-                     ledger: str | None = None, load_id: str | None = None) -> None:
+                     ledger: str | None = None, load_id: str | None = None, sketch: str | None = None) -> None:
     """Join two checked feeds (unique keys) and publish what pairs: hourly, then daily by ``mode``."""
     qual_metrics = [c for c in qual_spec.column_names if c not in set(counter_spec.column_names)]
     joined = feed_join(counter, qual, HOURLY_UNIQUE, qual_metrics)
@@ -205,7 +210,7 @@ def join_and_publish(spark, counter: DataFrame, qual: DataFrame, counter_spec: F
     # Within one load the keys are unique (checked or resolved above), so no
     # first-wins pass is needed before the anti-join.
     got = insert_ignore_into(spark, hourly_new, hourly_path, HOURLY_UNIQUE, dedup=False,
-                             order_within=hourly_order(), span=span)
+                             order_within=hourly_order(), span=span, sketch=sketch)
     rep.hourly_appended = int(got.get("appended", 0))
 
     if mode == "ignore":

@@ -541,6 +541,15 @@ def q_backlog_waiting(spark, sf):
     return backlog_report(spark, backlog, fx.COUNTER_SPEC, fx.QUAL_SPEC).select("feed", "date", "rows")
 
 
+def q_sketched_hourly(spark, sf):
+    """History from overlapping loads (early hours, everything, late hours) decided by key sketches."""
+    hourly, daily = _targets(spark)
+    sketch = scratch_path(spark, "sketch")
+    for part in (0, None, 1):
+        _load(spark, sf, hourly, daily, part=part, sketch=sketch)
+    return spark.read.parquet(hourly).select(*_hourly_cols())
+
+
 QUERIES = {
     "load_lines_comma": q_load_lines_comma,
     "load_lines_tab": q_load_lines_tab,
@@ -593,6 +602,7 @@ QUERIES = {
     "backlog_hourly": q_backlog_hourly,
     "backlog_daily": q_backlog_daily,
     "backlog_waiting": q_backlog_waiting,
+    "sketched_hourly": q_sketched_hourly,
 }
 
 
@@ -783,4 +793,5 @@ ORACLES = {
     "backlog_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "backlog_daily": _late_recompute_sql(),
     "backlog_waiting": _waiting_sql(),
+    "sketched_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
 }
