@@ -93,18 +93,18 @@ def stage_lines(lines: DataFrame, spec: FeedSpec, out: str, on_error: str = "rai
     return good_rows(spark, out, spec).select(*spec.column_names)
 
 
-def _staged(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
+def staged_rows(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
     # an empty feed leaves no file to take a schema from
     schema = spec.schema().add("line", "string").add(REJECT_COL, "string").add("source_file", "string").add("status", "string")
     return spark.read.schema(schema).parquet(staged)
 
 
 def good_rows(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
-    return _staged(spark, staged, spec).filter(F.col("status") == "good")
+    return staged_rows(spark, staged, spec).filter(F.col("status") == "good")
 
 
 def reject_rows(spark: SparkSession, staged: str, spec: FeedSpec) -> DataFrame:
-    return _staged(spark, staged, spec).filter(F.col("status") == "reject")
+    return staged_rows(spark, staged, spec).filter(F.col("status") == "reject")
 
 
 def resolve_duplicates(feed: DataFrame, keys=HOURLY_UNIQUE) -> DataFrame:

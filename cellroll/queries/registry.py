@@ -22,6 +22,7 @@ from ..operators.quality import cell_key_collisions, duplicate_keys, quality_rep
 from ..operators.rollup import daily_rows, round_metrics, sum_metrics
 from ..operators.stats import load_totals
 from ..plans.full_load import run_load
+from ..plans.ledger import loaded_files, run_once
 from ..schema import HOURLY_KEYS, KEY_COL, TIME_COL, FeedSpec, cell_feed_spec, metric_names, table_spec
 from ..session import scratch_path, tune_wide
 from ..sinks.tables import write_staging
@@ -29,6 +30,7 @@ from ..sources.feed import load_feed, parse_lines
 from ..sources.lines import read_lines
 from ..streaming.backlog import backlog_report, load_arrivals
 from ..streaming.incremental import run_incremental, write_manifest
+from ..streaming.repair import open_rejects, reject_report
 from . import feeds as fx
 
 LINEITEM_ORDER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -550,6 +552,43 @@ def q_sketched_hourly(spark, sf):
     return spark.read.parquet(hourly).select(*_hourly_cols())
 
 
+def _mended(spark, sf, cells: str):
+    """The whole feeds with every fifth cell's counter lines broken, then the lines of ``cells`` (a pattern) mended."""
+    hourly, daily = _targets(spark)
+    backlog, rejects = scratch_path(spark, "mend-backlog"), scratch_path(spark, "mend-rejects")
+    counter, qual = (read_lines(spark, fx.export_feed(spark, sf, f)) for f in ("counter", "qual"))
+    broken = F.when(F.col("value").rlike(r",CELL\d*[05],"), F.concat(F.lit("x"), "value")).otherwise(F.col("value"))
+    kw = dict(counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC, hourly_path=hourly, daily_path=daily, backlog=backlog,
+              on_error="reject", rejects=rejects)
+    load_arrivals(spark, counter.withColumn("value", broken), qual, 0, **kw)
+    fixes = open_rejects(spark, rejects).where(F.col("line").rlike(cells)).select("line_id", F.expr("substring(line, 2)").alias("line"))
+    nothing = spark.createDataFrame([], "value string, source_file string")
+    load_arrivals(spark, nothing, nothing, 1, fixes=fixes, **kw)
+    return hourly, rejects
+
+
+def q_mended_hourly(spark, sf):
+    """All broken lines mended: history as if none had been broken."""
+    hourly, _ = _mended(spark, sf, ",CELL")
+    return spark.read.parquet(hourly).select(*_hourly_cols())
+
+
+def q_mended_report(spark, sf):
+    """Half of the cells mended: what was found, what is mended, what is still open."""
+    _, rejects = _mended(spark, sf, r",CELL\d*0,")
+    return reject_report(spark, rejects)
+
+
+def q_load_ledger(spark, sf):
+    """Half-day loads, one of them sent twice: each file's lines counted once."""
+    hourly, daily = _targets(spark)
+    loads = scratch_path(spark, "loads")
+    for part in (0, 1, 0):
+        c, q = fx.export_feed(spark, sf, "counter", part), fx.export_feed(spark, sf, "qual", part)
+        run_once(spark, c, q, loads=loads, counter_spec=fx.COUNTER_SPEC, qual_spec=fx.QUAL_SPEC, hourly_path=hourly, daily_path=daily)
+    return loaded_files(spark, loads).groupBy("feed").agg(F.count_distinct("load").alias("loads"), F.sum("lines").alias("lines"), F.sum("rejects").alias("rejects"))
+
+
 QUERIES = {
     "load_lines_comma": q_load_lines_comma,
     "load_lines_tab": q_load_lines_tab,
@@ -603,6 +642,9 @@ QUERIES = {
     "backlog_daily": q_backlog_daily,
     "backlog_waiting": q_backlog_waiting,
     "sketched_hourly": q_sketched_hourly,
+    "mended_hourly": q_mended_hourly,
+    "mended_report": q_mended_report,
+    "load_ledger": q_load_ledger,
 }
 
 
@@ -793,5 +835,10 @@ ORACLES = {
     "backlog_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
     "backlog_daily": _late_recompute_sql(),
     "backlog_waiting": _waiting_sql(),
+    "mended_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
+    "mended_report": (f"SELECT 'counter' AS feed, 'cast:resulttime,null:resulttime' AS reasons, count(*) AS found, count(*) FILTER (cellindex % 10 = 0) AS mended, "
+                      f"count(*) FILTER (cellindex % 10 <> 0) AS open FROM {fx.sql_counter()} WHERE cellindex % 5 = 0"),
+    "load_ledger": " UNION ALL ".join(f"SELECT '{feed}' AS feed, 2 AS loads, CAST((SELECT count(*) FROM {rows(fx.sql_half(0))}) + (SELECT count(*) FROM {rows(fx.sql_half(1))}) AS BIGINT) AS lines, "
+                                      "CAST(0 AS BIGINT) AS rejects" for feed, rows in (("counter", fx.sql_counter), ("qual", fx.sql_qual))),
     "sketched_hourly": f"SELECT {_HOURLY_SQL} FROM {fx.sql_lastday()}",
 }

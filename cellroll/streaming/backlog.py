@@ -22,6 +22,9 @@ The backlog holds no rows but those without a partner, and nothing expires
 by itself: late loads of old days must still publish.  ``backlog_report``
 shows what waits and since when.
 
+With ``rejects`` (a folder) bad lines are kept and may come back mended, see
+``streaming.repair``.
+
 Scale: a batch moves its own rows and the backlog.  Hourly is read for key
 columns, on the dates that these rows span.
 """
@@ -41,6 +44,7 @@ from ..schema import HOURLY_UNIQUE, TIME_COL, FeedSpec
 from ..session import delete_path, path_exists, scratch_path, tune_wide
 from ..sinks.tables import read_table, restrict_to
 from ..sources.lines import lines_of
+from .repair import chosen_fixes, fixes_of_lines, keep_rejects
 
 BATCH_COL = "_batch"
 FEEDS = ("counter", "qual")
@@ -102,20 +106,32 @@ def _arrived(staged: DataFrame, waiting: DataFrame, batch: int, feed: str, on_er
 
 def load_arrivals(spark: SparkSession, counter_lines: DataFrame, qual_lines: DataFrame, batch: int, *, counter_spec: FeedSpec,
                   qual_spec: FeedSpec, hourly_path: str, daily_path: str, backlog: str, mode: str = "recompute",
-                  on_error: str = "raise") -> BacklogReport:
+                  on_error: str = "raise", rejects: str | None = None, fixes: DataFrame | None = None) -> BacklogReport:
     """One step: pair the lines that came with the backlog, publish, write the next backlog.
 
+    ``rejects``: folder in which bad lines are kept (on_error='reject' only);
+    ``fixes``: (line_id, line) corrected texts of open ones, which enter with this step.
+
     ``batch`` numbers rise from step to step; a step that is run again with
     its number leaves the same state.
     """
     if mode not in ("ignore", "recompute"):
         raise ValueError("mode must be 'ignore' or 'recompute'")
+    if rejects is not None and on_error != "reject":
+        raise ValueError("rejects are kept with on_error='reject' only")
+    if fixes is not None and rejects is None:
+        raise ValueError("fixes need the folder of the rejects")
     tune_wide(spark, len(counter_spec.columns) + len(qual_spec.columns))
     work = scratch_path(spark, "backlog")
     rep = BacklogReport(work=work)
     specs = {"counter": counter_spec, "qual": qual_spec}
     try:
-        rows = {}
+        rows, mended = {}, None
+        if fixes is not None:
+            mended = chosen_fixes(spark, fixes, rejects, batch, f"{work}/fixes")
+            counter_lines, qual_lines = (
+                lines.select("value", "source_file").unionByName(mended.where(F.col("feed") == feed).select("value", "source_file"))
+                for feed, lines in zip(FEEDS, (counter_lines, qual_lines), strict=True))
         for feed, lines in zip(FEEDS, (counter_lines, qual_lines), strict=True):
             totals = {}
             staged = stage_lines(lines, specs[feed], f"{work}/{feed}", on_error, totals)
@@ -130,6 +146,8 @@ def load_arrivals(spark: SparkSession, counter_lines: DataFrame, qual_lines: Dat
         join_and_publish(spark, *(rows[f].drop(BATCH_COL) for f in FEEDS), counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep)
         for feed in reversed(FEEDS):
             setattr(rep, f"{feed}_waiting", _keep_waiting(spark, rows[feed], hourly_path, f"{_version(backlog, batch)}/{feed}"))
+        if rejects is not None:
+            keep_rejects(spark, {feed: (f"{work}/{feed}", specs[feed]) for feed in FEEDS}, mended, rejects, batch)
         for old in [b for b in _versions(spark, backlog) if b < batch][1:]:
             delete_path(spark, _version(backlog, old))
     finally:
@@ -150,14 +168,16 @@ def _keep_waiting(spark: SparkSession, rows: DataFrame, hourly_path: str, path:
 
 def run_backlog(spark: SparkSession, counter_dir: str, qual_dir: str, *, counter_spec: FeedSpec, qual_spec: FeedSpec, hourly_path: str,
                 daily_path: str, backlog: str, checkpoint: str, mode: str = "recompute", on_error: str = "raise",
-                max_files_per_trigger: int = 1000, available_now: bool = True, reports: list | None = None):
+                max_files_per_trigger: int = 1000, available_now: bool = True, reports: list | None = None,
+                rejects: str | None = None, fixes_dir: str | None = None):
     """Load the files that come into two folders (and folders below them), in any order.
 
     ``checkpoint``: the stream's own folder; ``backlog``: the folder of the
     backlog versions.  Both belong together: with a new checkpoint the batch
     numbers begin again, so give it a new backlog too (nothing is published
     twice either way).  mode='recompute' by default, as the hours of a day
-    may pair in any batch.
+    may pair in any batch.  ``rejects``: see ``load_arrivals``; ``fixes_dir``: a
+    folder of text files with a line id, a tab and the corrected line in each line.
     """
 
     def stream(feed: str, folder: str, spec: FeedSpec) -> DataFrame:
@@ -166,13 +186,17 @@ def run_backlog(spark: SparkSession, counter_dir: str, qual_dir: str, *, counter
         return lines_of(lines, header=spec.header, line_sep=spec.line_sep).select("value", "source_file", F.lit(feed).alias("feed"))
 
     def load_batch(batch: DataFrame, epoch: int) -> None:
-        counter, qual = (batch.where(F.col("feed") == f).drop("feed") for f in FEEDS)
+        counter, qual, fixes = (batch.where(F.col("feed") == f).drop("feed") for f in (*FEEDS, "fixes"))
         rep = load_arrivals(batch.sparkSession, counter, qual, epoch, counter_spec=counter_spec, qual_spec=qual_spec,
-                            hourly_path=hourly_path, daily_path=daily_path, backlog=backlog, mode=mode, on_error=on_error)
+                            hourly_path=hourly_path, daily_path=daily_path, backlog=backlog, mode=mode, on_error=on_error,
+                            rejects=rejects, fixes=fixes_of_lines(fixes) if fixes_dir else None)
         if reports is not None:
             reports.append((epoch, rep))
 
     both = stream("counter", counter_dir, counter_spec).unionByName(stream("qual", qual_dir, qual_spec))
+    if fixes_dir:
+        texts = spark.readStream.format("text").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger).load(fixes_dir)
+        both = both.unionByName(texts.select("value", F.lit(None).cast("string").alias("source_file"), F.lit("fixes").alias("feed")))
     writer = both.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     query = writer.start()
