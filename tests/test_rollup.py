@@ -87,3 +87,29 @@ def test_passes_with_null_keys_add_no_exchange(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_derived_metrics_shuffle_the_rows_once_as_they_are(spark):
+    base = spark.range(300).select(
+        F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        (F.col("id") % 3).alias("h"), F.when(F.col("id") % 11 != 0, F.col("id").cast("double")).alias("x"))
+    metrics = {f"m{j}": F.expr(f"CASE WHEN g <> '1' OR h = {j % 3} THEN x * {j} END") for j in range(10)}
+    columns = base.select("g", "h", *[c.alias(m) for m, c in metrics.items()])
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = sum_metrics(base, ["g", "h"], metrics, per_pass=4)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        made = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+        assert plan.count("ReusedExchange") == 2 and len(made) == 1
+        below = plan.split(made[0])[1].split("ReusedExchange")[0]
+        assert "partial_sum" not in below.split("SortMergeJoin")[0].split("HashAggregate")[0]
+        for per_pass in (4, None):
+            assert _rows(sum_metrics(base, ["g", "h"], metrics, per_pass=per_pass)) == _rows(sum_metrics(columns, ["g", "h"], list(metrics)))
+        some = base.where("g is not null")
+        assert _rows(sum_metrics(some, ["g", "h"], metrics, per_pass=4, keys_not_null=True)) == _rows(sum_metrics(columns.where("g is not null"), ["g", "h"], list(metrics)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
