@@ -47,12 +47,18 @@ def _lineitem_spec(spark, sf, **kw):
     return table_spec(_li(spark, sf).schema, **kw)
 
 
+def in_files(df, least):
+    """At least ``least`` partitions, so that as many files are written; a larger table keeps those of its scan,
+    and no task gets a share that grows with the table."""
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def _lineitem_export(spark, sf, name, sep=",", header=False, where=None, parts=None):
     def build():
         df = _li(spark, sf)
         if where is not None:
             df = df.filter(where)
-        return df.repartition(parts) if parts else df
+        return in_files(df, parts) if parts else df
     return fx.cached_export(spark, name, sf, build, sep=sep, header=header)
 
 
