@@ -428,14 +428,15 @@ def q_load_skip_header_blank(spark, sf):
     """Files whose first line is blank, and blank lines inside: exactly line 1 of each file goes."""
     def build():
         li = _li(spark, sf).select(F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("value"), "l_orderkey", "l_linenumber")
-        li = li.repartition(3, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
-        blank = li.select(F.posexplode(F.when((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1), F.array("value", F.lit(""))).otherwise(F.array("value"))).alias("pos", "value"))
+        blank = in_files(li, 3).select(F.posexplode(F.when((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1), F.array("value", F.lit(""))).otherwise(F.array("value"))).alias("pos", "value"))
         return blank.select("value")
     path = fx.cached_export(spark, "lineitem-blank", sf, build)
-    body = read_lines(spark, path)
-    # put one line before each file's first: a blank one, by reading the export as lines of new files
+    # put one line before each file's first: a blank one, by reading the export as lines of new files; a task
+    # writes one file, and its rows' ids count from 0 in the lower 33 bits
     files = scratch_path(spark, "blank-first")
-    body.groupBy("source_file").agg(F.concat(F.lit("\n"), F.concat_ws("\n", F.collect_list("value"))).alias("value")).select("value").repartition(3).write.option("lineSep", "\n").text(files)
+    body = in_files(read_lines(spark, path), 3).select("value", ((F.monotonically_increasing_id() % (1 << 33)) == 0).alias("first"))
+    body = body.select(F.explode(F.when(F.col("first"), F.array(F.lit(""), "value")).otherwise(F.array("value"))).alias("value"))
+    body.write.option("lineSep", "\n").option("maxRecordsPerFile", 0).text(files)
     lines = read_lines(spark, files, header=True)
     return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -3,9 +3,11 @@
 import datetime as dt
 import math
 import os
+from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cellroll.queries.registry import QUERIES
@@ -53,3 +55,30 @@ def test_query_matches_oracle(spark, con, name):
     idx = {c: i for i, c in enumerate(ocols)}
     want = sorted((tuple(_norm(r[idx[c]]) for c in cols) for r in res.fetchall()), key=_key)
     assert got == want
+
+
+def test_header_files_grow_in_number_not_in_share(spark, tmp_dir):
+    """No task writes or reads a fixed share of the lines: a larger table gives more files of the same size."""
+    rows = spark.range(12000).select(
+        F.floor(F.col("id") / 4).alias("l_orderkey"), F.lit(7).cast("long").alias("l_partkey"),
+        (F.col("id") % 9).alias("l_suppkey"), (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"),
+        *[F.col("id").cast("double").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), F.lit("1998-01-01").cast("timestamp_ntz").alias("l_shipdate"))
+    rows.repartition(12).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    got = rows.collect()
+    want = Counter(f"{r.l_orderkey},{r.l_linenumber}" for r in got)
+    want[""] = sum(r.l_orderkey % 7 == 0 and r.l_linenumber == 1 for r in got)
+    conf = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(conf)
+    for size in ("20000", "128m"):  # many tasks, few tasks
+        spark.conf.set(conf, size)
+        sf = tmp_dir if size == "20000" else f"{tmp_dir}/."  # each its own exports
+        try:
+            loaded = QUERIES["load_skip_header"](spark, sf)
+            assert Counter(map(tuple, loaded.collect())) == Counter(map(tuple, got))
+            blank = QUERIES["load_skip_header_blank"](spark, sf)
+            assert {r.value: r.n for r in blank.collect()} == want
+        finally:
+            spark.conf.set(conf, old)
+        for files in (loaded.inputFiles(), blank.inputFiles()):
+            assert len(files) >= (12 if size == "20000" else 3)
