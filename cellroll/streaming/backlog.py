@@ -94,14 +94,25 @@ def backlog_report(spark: SparkSession, backlog: str, counter_spec: FeedSpec, qu
     return both[0].unionByName(both[1]).groupBy("feed", "date").agg(F.count("*").alias("rows"), F.min(BATCH_COL).alias("first_batch"))
 
 
-def _arrived(staged: DataFrame, waiting: DataFrame, batch: int, feed: str, on_error: str) -> tuple[DataFrame, int]:
-    """Backlog and new rows of a feed with one row for each key, the earliest; and the repeats among the new rows."""
-    again = duplicate_keys(staged, list(HOURLY_UNIQUE)).agg(F.sum("n")).first()[0] or 0
+def _arrived(staged: DataFrame, waiting: DataFrame, batch: int, feed: str, on_error: str, path: str) -> tuple[DataFrame, int]:
+    """Backlog and new rows of a feed with one row for each key, the earliest; and the repeats among the new rows.
+
+    The backlog has one row for each key and is older than what came, so only new rows are compared with its
+    keys, and what is left of them is written to ``path``.  Without a backlog and repeats nothing is moved.
+    """
+    again = int(duplicate_keys(staged, list(HOURLY_UNIQUE)).agg(F.sum("n")).first()[0] or 0)
     if again and on_error == "raise":
         raise LoadError(f"duplicate (resulttime, unique_id) rows in the {feed} files of one batch: {again}; nothing published")
-    rows = waiting.unionByName(staged.withColumn(BATCH_COL, F.lit(batch).cast("long")))
-    # the batch is the first column: the first by which repeats of a key are ordered
-    return resolve_duplicates(rows.select(BATCH_COL, *staged.columns)), int(again)
+    new = resolve_duplicates(staged) if again else staged
+    backlog = not waiting.isEmpty()
+    if backlog:
+        keys = list(HOURLY_UNIQUE)
+        new = new.join(waiting.select(*keys), keys, "left_anti").select(*staged.columns)
+    if again or backlog:
+        new.write.parquet(path)
+        new = staged.sparkSession.read.schema(new.schema).parquet(path)
+    new = new.select(F.lit(batch).cast("long").alias(BATCH_COL), *staged.columns)
+    return (waiting.select(*new.columns).unionByName(new) if backlog else new), again
 
 
 def load_arrivals(spark: SparkSession, counter_lines: DataFrame, qual_lines: DataFrame, batch: int, *, counter_spec: FeedSpec,
@@ -138,11 +149,8 @@ def load_arrivals(spark: SparkSession, counter_lines: DataFrame, qual_lines: Dat
             setattr(rep, f"{feed}_lines", totals.get("n_lines", 0))
             setattr(rep, f"{feed}_rejects", totals.get("n_rejects", 0))
             waiting = read_backlog(spark, backlog, feed, specs[feed], before=batch)
-            found, again = _arrived(staged, waiting, batch, feed, on_error)
+            rows[feed], again = _arrived(staged, waiting, batch, feed, on_error, f"{work}/{feed}-arrived")
             setattr(rep, f"{feed}_duplicates", again)
-            path = f"{work}/{feed}-arrived"
-            found.write.parquet(path)
-            rows[feed] = spark.read.schema(found.schema).parquet(path)
         join_and_publish(spark, *(rows[f].drop(BATCH_COL) for f in FEEDS), counter_spec, qual_spec, hourly_path, daily_path, mode, work, rep)
         for feed in reversed(FEEDS):
             setattr(rep, f"{feed}_waiting", _keep_waiting(spark, rows[feed], hourly_path, f"{_version(backlog, batch)}/{feed}"))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import os
 
 import pytest
 from core_helpers import write_text
@@ -147,3 +148,24 @@ def test_headers_in_a_stream(spark, tmp_dir):
             site.put(feed, "resulttime,mbsc,cellname,cellindex,lac,ci,x", line(hour, value), line(hour + 10, value))
     assert sum(r.hourly_appended for r in site.run(max_files_per_trigger=2)) == 6
     assert site.daily() == [(DAY, 6.0, 12.0)]
+
+
+def test_rows_without_backlog_and_repeats_are_not_moved(spark, tmp_dir):
+    schema = CSPEC.schema()
+    at = dt.datetime(2018, 8, 1)
+    row = lambda hour, name, m: (at + dt.timedelta(hours=hour), 12345, "MBSC1", name, 7, 12, 345, m)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    old = lambda *rows: spark.createDataFrame([(0, *r) for r in rows], bl._schema(CSPEC))
+    found = lambda df: sorted((r._batch, r.resulttime.hour, r.cellname, r.m1) for r in df.collect())
+
+    rows, again = bl._arrived(frame(row(0, "A", 1.0), row(1, "A", 2.0)), old(), 3, "counter", "raise", f"{tmp_dir}/none")
+    assert again == 0 and found(rows) == [(3, 0, "A", 1.0), (3, 1, "A", 2.0)] and not os.path.exists(f"{tmp_dir}/none")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    # the backlog's row is the earlier one, whatever the other columns say; repeats among the new rows are resolved
+    new = frame(row(0, "A", 0.0), row(1, "B", 2.0), row(1, "A", 2.0), row(2, "A", 3.0))
+    rows, again = bl._arrived(new, old(row(0, "Z", 9.0)), 3, "counter", "reject", f"{tmp_dir}/both")
+    assert again == 2 and found(rows) == [(0, 0, "Z", 9.0), (3, 1, "A", 2.0), (3, 2, "A", 3.0)]
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Window") == 0
+    with pytest.raises(LoadError):
+        bl._arrived(new, old(), 3, "counter", "raise", f"{tmp_dir}/no")
