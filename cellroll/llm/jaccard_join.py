@@ -8,8 +8,12 @@ candidates: a longer prefix costs more rows, but asks for more shared shingles b
 
 Equal sets are one node, so copies cost nothing past the first.  Pairs inside one group of near copies are
 not all listed: first every node is verified against a few nodes of its prefix lists and what links is joined
-into components; then all pairs that share enough prefix shingles and whose ends are still apart are
-verified, so no link between components is lost and every component is exact.
+into components; nodes that are still apart from others of their lists are tried again, in each list with
+a few more nodes in a random order.  Then all pairs that share enough prefix shingles and whose ends are
+still apart are verified, so no link between components is lost and every component is exact.
+
+Pairs that can't reach the similarity are told by parity bitmaps, while lists are joined: bit h of a set's bitmap is
+the parity of its shingles that hash to h, so two bitmaps differ in no more bits than the sets do in shingles.
 
 Words are runs of other characters than ASCII white space, A-Z in lower case.  A text of fewer words than n
 is one shingle; a text without words has an empty set and is linked with nothing.  Rows that repeat a doc_id
@@ -34,6 +38,8 @@ WORDS, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 21, 64  # counters of the hashed shingle counts: 2**21 of 4 bytes, whatever the input
 LONGEST = 4  # l is 1 to LONGEST
 TRIED = 4  # pairs of each set that are verified before components are first built
+AGAIN = 4  # other sets of each of its lists that a set is then tried with
+BITMAP = 4  # 64-bit numbers of a parity bitmap
 
 
 def sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,10 +175,44 @@ def close_enough(a: str, b: str, percent: int):
     return F.expr(f"100L * least({a}, {b}) >= {percent}L * greatest({a}, {b})")
 
 
+def bitmaps(texts: DataFrame, n: int) -> DataFrame:
+    """(s, b0, b1, ...): the parity bitmap of each set."""
+
+    def draw(batches):
+        for rb in batches:
+            for a, b, data, off in blocks(rb.column("text")):
+                hashes, bounds = sets(data, off, n)
+                bits = np.zeros((b - a) * BITMAP, np.uint64)
+                place = row_of(bounds) * BITMAP + ((hashes >> np.uint64(6)) % np.uint64(BITMAP)).astype(np.int64)
+                np.bitwise_xor.at(bits, place, np.uint64(1) << (hashes & np.uint64(63)))
+                bits = bits.view(np.int64).reshape(-1, BITMAP)
+                yield batch(s=rb.column("s").slice(a, b - a), **{f"b{i}": np.ascontiguousarray(bits[:, i]) for i in range(BITMAP)})
+
+    return saved(texts.mapInArrow(draw, "s long, " + ", ".join(f"b{i} long" for i in range(BITMAP))), "bitmaps")
+
+
+def shared_least(a: str, b: str, percent: int) -> str:
+    """Shingles that sets of these sizes must share, as SQL."""
+    return f"(({percent}L * ({a} + {b}) + {99 + percent}) div {100 + percent})"
+
+
+def alike(x: str, y: str, percent: int):
+    """Sizes ``{x}n``, ``{y}n`` and bitmaps ``{x}b0``, ... that can belong to two sets of the similarity."""
+    differ = " + ".join(f"bit_count({x}b{i} ^ {y}b{i})" for i in range(BITMAP))
+    return close_enough(f"{x}n", f"{y}n", percent) & F.expr(f"{differ} <= {x}n + {y}n - 2 * {shared_least(x + 'n', y + 'n', percent)}")
+
+
+def members(shared: DataFrame, groups: DataFrame, maps: DataFrame) -> DataFrame:
+    """(tok, s, n, l, p, c, b0, ...): the lists with each set's component c and bitmap."""
+    of = groups.selectExpr("node as s", "component as c")
+    return shared.select("tok", "s", "n", "l", "p").join(of, "s", "left").join(maps, "s").withColumn("c", F.coalesce("c", "s"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set names that reach the similarity."""
-    left = texts.select(F.col("s").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("s").alias("b"), F.col("text").alias("text_b"))
+    # only texts of these pairs are moved
+    left = texts.select(F.col("s").alias("a"), F.col("text").alias("text_a")).join(pairs.select("a").distinct(), "a", "left_semi")
+    right = texts.select(F.col("s").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b", "left_semi")
     rows = pairs.select("a", "b").join(right, "b").join(left, "a")
 
     def check(batches):
@@ -221,18 +261,30 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     known = saved(texts.join(firsts, "d").select("s", "text"), "texts")
     links = saved(verified(first, known, words, percent), "verified")
     groups = components(links)
+    maps = bitmaps(known, words)
+    own = ["s", "n", "c", *(f"b{i}" for i in range(BITMAP))]
+    # each set of a list and the few before it, in an order of its own for every list
+    order = Window.partitionBy("tok").orderBy(F.xxhash64("tok", "s"), "s")
+    before = F.array(*(F.lag("x", k).over(order) for k in range(1, AGAIN + 1)))
+    tried = members(shared, groups, maps).select("tok", "s", F.struct(*own).alias("x")).select("x", before.alias("before")).select("x", F.explode("before").alias("y"))
+    tried = tried.where("x.c != y.c").where(alike("x.", "y.", percent))
+    tried = saved(tried.select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "tried")
+    found = saved(verified(tried, known, words, percent), "verified")
+    if found.limit(1).count():
+        links = links.unionByName(found)
+        groups = components(links)
 
     # lists that still hold several components: all pairs across them that share enough shingles
-    member = shared.join(groups.selectExpr("node as s", "component as c"), "s", "left").withColumn("c", F.coalesce("c", "s")).select("tok", "s", "n", "l", "p", "c")
+    member = members(shared, groups, maps)
     sizes = member.groupBy("tok", "c").agg(F.count("*").alias("n_c"))
     main = sizes.groupBy("tok").agg(F.max_by("c", F.struct("n_c", "c")).alias("main"), F.count("*").alias("n_groups")).where("n_groups > 1").drop("n_groups")
     member = saved(member.join(main, "tok"), "members")
-    outside = member.where("c != main").selectExpr("tok", "s as x", "n as xn", "l as xl", "p as xp", "c as xc")
-    pairs = outside.join(member, "tok").where("xc != c and (c = main or x < s)").where(close_enough("xn", "n", percent))
+    outside = member.where("c != main").select("tok", *(F.col(x).alias(f"x{x}") for x in (*own, "l", "p")))
+    pairs = outside.join(member, "tok").where("xc != c and (c = main or xs < s)").where(alike("x", "", percent))
     # two sets of known sizes must share `both` shingles, so the first min(l, l') of them stand in shorter prefixes
-    both = f"(({percent}L * (xn + n) + {99 + percent}) div {100 + percent})"
+    both = shared_least("xn", "n", percent)
     pairs = pairs.where(f"xp < xn - {both} + least(xl, l) and p < n - {both} + least(xl, l)")
-    pairs = pairs.groupBy(F.least("x", "s").alias("a"), F.greatest("x", "s").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("xl", "l")).alias("asked"))
+    pairs = pairs.groupBy(F.least("xs", "s").alias("a"), F.greatest("xs", "s").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("xl", "l")).alias("asked"))
     rest = saved(pairs.where("shared >= asked").select("a", "b"), "pairs")
     more = verified(rest, known, words, percent)
     groups = components(links.unionByName(saved(more, "verified")))

@@ -92,6 +92,41 @@ def test_chain_of_links_and_group_of_near_copies(frame, vocabulary):
     assert got == brute_components(rows, 4, 85)
 
 
+def test_pairs_of_a_large_group_of_near_copies(frame, vocabulary, monkeypatch):
+    """One or two edits link to the group, three don't: pairs that are listed stay far below all pairs."""
+    r = random.Random(9)
+    hub = [f"{x}{i}" for i, x in enumerate(words(r, vocabulary, 150))]
+    rows = []
+    for i in range(400):
+        own = list(hub)
+        for at in r.sample(range(10, 140), (1, 2, 2, 3)[i % 4]):
+            own[at] = f"v{i}"
+        rows.append((i, " ".join(own)))
+    listed, save = [], jaccard_join.saved
+
+    def counted(df, what):
+        out = save(df, what)
+        if what in ("first", "tried", "pairs"):
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", counted)
+    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows)).collect())
+    assert got == brute_components(rows, 4, 85)
+    assert sum(listed) < 12 * len(rows), listed
+
+
+def test_bitmaps_tell_no_link_apart(frame, vocabulary):
+    texts = [x for x in corpus(6, vocabulary, n=40) if shingle_set(x, 4)]
+    maps = jaccard_join.bitmaps(frame(list(enumerate(texts))).selectExpr("doc_id as s", "text"), 4).collect()
+    maps = {x["s"]: x for x in maps}
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts):
+            differ = sum(((maps[i][f"b{k}"] ^ maps[j][f"b{k}"]) & (2**64 - 1)).bit_count() for k in range(jaccard_join.BITMAP))
+            assert differ <= len(shingle_set(x, 4) ^ shingle_set(y, 4))
+    assert any(any(maps[i][f"b{k}"] for k in range(jaccard_join.BITMAP)) for i in maps)
+
+
 def test_jaccard_odd_rows(frame):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (3, text.upper()), (7, None), (8, ""), (9, " \n "), (10, "one"), (11, "ONE"), (12, "x " * 30_000)]
