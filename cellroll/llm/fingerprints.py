@@ -6,6 +6,8 @@ range stays the same; a frequent fingerprint is at most one entry of each block.
 
 The bit set has BITS bits whatever the input.  A fingerprint that reaches the least count always has its bit; on
 inputs with very many frequent ones, others have it too.  It is a filter before an exact step, never a result.
+So the first KEPT bits of a fingerprint are enough: those that share them are counted as one, and pass more easily.
+They travel as steps from one to the next.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from .arrays import Words, mix, ramp
 from .repeats import batch
 
 BITS = 27  # 2**27 bits: 16 MB
+KEPT = 40  # bits of a fingerprint that are counted
 PARTS = 6  # sent to the driver in 2**6 parts
 RANGE_BYTES = 8 << 20  # bytes of text for each range: about a million fingerprints
 
@@ -45,13 +48,19 @@ def counted(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.n
 
 
 def packed(fps: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    """(range, fps, counts) rows of sorted distinct fingerprints."""
+    """(range, fps, counts) rows of sorted distinct fingerprints; each row has the first KEPT bits of its first one
+    and the steps to the others."""
+    fps, counts = fps >> np.uint64(64 - KEPT) << np.uint64(64 - KEPT), counts.astype(np.int64)
+    at = np.flatnonzero(np.concatenate([np.ones(min(len(fps), 1), bool), fps[1:] != fps[:-1]]))
+    fps, counts = fps[at], np.add.reduceat(counts, at) if len(at) else counts
     at_range = ((fps >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     at = np.flatnonzero(np.concatenate([np.ones(min(len(fps), 1), bool), at_range[1:] != at_range[:-1]]))
     if not len(at):
         return
     off = np.concatenate([at, [len(fps)]])
-    yield batch(range=at_range[at].astype(np.int32), fps=planes(fps, off), counts=planes(counts.astype(np.uint32), off))
+    step = np.diff(fps, prepend=np.uint64(0))
+    step[at] = fps[at]
+    yield batch(range=at_range[at].astype(np.int32), fps=planes(step >> np.uint64(64 - KEPT), off), counts=planes(counts.astype(np.uint32), off))
 
 
 def planes(values: np.ndarray, off: np.ndarray) -> pa.Array:
@@ -90,7 +99,7 @@ def frequent(rows: DataFrame, least: int) -> np.ndarray:
                     yield from merge(fps, counts)
                     fps, counts = [], []
                 last = r
-                fps.append(unpacked(f.as_buffer(), np.uint64))
+                fps.append(np.cumsum(unpacked(f.as_buffer(), np.uint64)) << np.uint64(64 - KEPT))
                 counts.append(unpacked(c.as_buffer(), np.uint32).astype(np.int64))
         if fps:
             yield from merge(fps, counts)

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import words
 
@@ -226,3 +227,17 @@ def test_empty_tables(docs):
     none = docs.where("false")
     assert phrases.collocations(none).count() == 0 and divergence.source_divergence(none).count() == 0
     assert winnowing.fingerprint_report(none).count() == 0 and winnowing.fingerprints(none).count() == 0
+
+
+def test_packed_fingerprints_travel_as_short_steps(spark):
+    """Some 5 bytes each as sorted 64-bit numbers, under 4 as steps of 40 bits; and what is frequent is found."""
+    r = np.random.default_rng(3)
+    fps, counts = fingerprints.counted(r.integers(0, 2**64, 200_000, dtype=np.uint64))
+    for ranges in (1, 3):
+        rows = list(fingerprints.packed(fps, counts, ranges))
+        assert sum(len(pa.compress(x.as_py(), "lz4", asbytes=True)) for rb in rows for x in rb.column("fps")) < 4 * len(fps)
+    some = fps[::100]
+    rows = [x for f, n in ((fps, 1), (some, 2), (some[::2], 1)) for rb in fingerprints.packed(f, np.full(len(f), n), 3) for x in rb.to_pylist()]
+    bits = fingerprints.frequent(spark.createDataFrame([(x["range"], x["fps"], x["counts"]) for x in rows], fingerprints.PACKED), 4)
+    assert fingerprints.has(bits, some[::2]).all()
+    assert fingerprints.has(bits, fps).mean() < 0.02
