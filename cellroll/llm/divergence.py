@@ -102,7 +102,8 @@ def term_counts(docs: DataFrame, least: int) -> DataFrame:
             yield batch(lang=names(t.lang[row[first]], t.langs), source=names(t.source[row[first]], t.sources), term=joined(t.data, t.words, good[first], 1), n=np.diff(np.concatenate([at, [len(order)]])).astype(np.int64), docs=np.add.reduceat(in_doc[order], at))
 
     rows = docs.mapInArrow(write, "lang string, source string, term string, n long, docs long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # blocks have counted already: nearly no two rows of a task are equal, so they are dealt out before they are summed
+    return rows.repartition("lang", "source", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
