@@ -92,8 +92,9 @@ def test_chain_of_links_and_group_of_near_copies(frame, vocabulary):
     assert got == brute_components(rows, 4, 85)
 
 
-def test_pairs_of_a_large_group_of_near_copies(frame, vocabulary, monkeypatch):
-    """One or two edits link to the group, three don't: pairs that are listed stay far below all pairs."""
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])  # op3 and the pipeline
+def test_pairs_of_a_large_group_of_near_copies(frame, vocabulary, monkeypatch, n, percent):
+    """Few edits link to the group, more don't: pairs that are listed stay far below all pairs."""
     r = random.Random(9)
     hub = [f"{x}{i}" for i, x in enumerate(words(r, vocabulary, 150))]
     rows = []
@@ -111,9 +112,9 @@ def test_pairs_of_a_large_group_of_near_copies(frame, vocabulary, monkeypatch):
         return out
 
     monkeypatch.setattr(jaccard_join, "saved", counted)
-    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows)).collect())
-    assert got == brute_components(rows, 4, 85)
-    assert sum(listed) < 12 * len(rows), listed
+    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows), words=n, percent=percent).collect())
+    assert got == brute_components(rows, n, percent)
+    assert sum(listed) < 20 * len(rows), listed
 
 
 def test_bitmaps_tell_no_link_apart(frame, vocabulary):
