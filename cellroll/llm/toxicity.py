@@ -15,6 +15,7 @@ labels every score is the share of label 1 (0.5 without any).
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import WordIndex, text_groups
+from .arrays import WordIndex, free_memory, text_groups
 from .subwords import Adam, add_up, grams, plain_words
 from .tables import held_out, id_text
 
@@ -53,20 +54,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.bias + SCALE * sums / (n + PAD), -500, 500)))
 
 
-def train(texts: list[bytes], labels: np.ndarray, shares: tuple[float, float], seed: int = 7) -> Model:
+def numbered_words(texts: Iterable[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Plain distinct words of all texts; the numbers of each text's distinct words, end to end, and their bounds.
+
+    Texts are taken one by one, and only numbers are kept of each.
+    """
+    index = WordIndex(1 << 60)
+    rows = [index.rows(list(dict.fromkeys(x.split()))).astype(np.int32) for x in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in rows], dtype=np.int64)])
+    words = index.fresh()
+    index.clear()
+    return plain_words(words), np.concatenate([np.zeros(0, np.int32), *rows]), bounds
+
+
+def train(texts: Iterable[bytes], labels: np.ndarray, shares: tuple[float, float], seed: int = 7) -> Model:
     """Joint training of bucket embeddings and softmax; ``shares`` are the labels' shares in the whole."""
     rng = np.random.default_rng(seed)
-    index = WordIndex(1 << 60)
-    split = [list(dict.fromkeys(x.split())) for x in texts]
-    rows = index.rows(list(chain.from_iterable(split)))
-    words = plain_words(index.fresh())
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])])
+    words, rows, bounds = numbered_words(texts)
+    free_memory()  # of the texts and their words
     table = rng.normal(0, 0.1 / WIDTH, (BUCKETS, WIDTH))
     out = rng.normal(0, 0.3, (WIDTH, 2))
     bias = np.zeros(2)
     steps = [Adam(table.shape, RATE), Adam(out.shape, RATE), Adam(2, RATE)]
-    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(texts))))):
-        perm = rng.permutation(len(texts))
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(labels))))):
+        perm = rng.permutation(len(labels))
         for a in range(0, len(perm), BATCH):
             docs = perm[a:a + BATCH]
             at = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
@@ -117,7 +128,16 @@ def learn(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS) -> Mod
     ids = {r["doc_id"]: r["toxic"] for r in picked.select("doc_id", "toxic").collect()}
     sample = docs.where(F.col("doc_id").isin(list(ids))).groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     y = np.array([ids[r["doc_id"]] for r in sample])
-    return train([(r["text"] or "").encode() for r in sample], y, (counts[0] / total, counts[1] / total))
+    model = train(handed_out(sample), y, (counts[0] / total, counts[1] / total))
+    free_memory()
+    return model
+
+
+def handed_out(sample: list) -> Iterator[bytes]:
+    """The rows' texts; each row is dropped from the list as its text is taken."""
+    sample.reverse()
+    while sample:
+        yield (sample.pop()["text"] or "").encode()
 
 
 def scorer(model: Model):

@@ -231,3 +231,25 @@ def test_code_switched_texts(spark):
         good += sum(x == y for x, y in zip(labels, want, strict=True))
         total += len(want)
     assert good > 0.95 * total
+
+
+def test_training_keeps_numbers_of_words_only(monkeypatch):
+    """The driver holds a number for each word of the sample, not the word, and drops each text as it is taken."""
+    import tracemalloc
+
+    r = random.Random(8)
+    words = [f"word{i}" for i in range(1000)]
+    texts = [" ".join(r.sample(words, 300)).encode() for _ in range(2000)]
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "BATCH", 8)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 1)
+    monkeypatch.setattr(toxicity, "BUCKETS", 1 << 10)
+    tracemalloc.start()
+    toxicity.train(texts, np.arange(2000) % 2, (0.5, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6, peak  # 600,000 words: 2.4 MB as numbers, some 30 MB as words
+    sample = [{"text": x} for x in ("b a b", None, "c")]
+    assert list(toxicity.handed_out(sample)) == [b"b a b", b"", b"c"] and not sample
+    found, rows, bounds = toxicity.numbered_words([b"b a b", b"", b"a C"])
+    assert found == ["b", "a", "c"] and rows.tolist() == [0, 1, 1, 2] and bounds.tolist() == [0, 2, 2, 4]
