@@ -128,6 +128,46 @@ def test_bitmaps_tell_no_link_apart(frame, vocabulary):
     assert any(any(maps[i][f"b{k}"] for k in range(jaccard_join.BITMAP)) for i in maps)
 
 
+def test_texts_move_for_possible_pairs_only(frame, vocabulary, monkeypatch):
+    """Documents that share a passage share lists; those that can't link are not verified, and short lists are listed once."""
+    r = random.Random(12)
+    rows, passage = [], [f"p{i}" for i in range(60)]
+    for i in range(120):
+        rows.append((i, " ".join([f"{x}{i}" for x in words(r, vocabulary, 200)] + passage[i % 20: i % 20 + 30])))
+    rows += [(200 + i, " ".join(["one", *rows[i][1].split()[1:]])) for i in range(30)]
+    seen, save = {}, jaccard_join.saved
+
+    def counted(df, what):
+        out = save(df, what)
+        seen.setdefault(what, []).append(out)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", counted)
+    got = sorted(tuple(x) for x in jaccard_join.join_report(frame(rows)).collect())
+    assert got == brute_components(rows, 4, 85)
+    assert seen["first"][0].count() == seen["verified"][0].count() == 30
+    lists = seen["prefixes"][0].groupBy("tok").agg({"few": "max", "*": "count"}).toDF("tok", "few", "n").collect()
+    assert any(x["few"] for x in lists) and all(x["n"] <= jaccard_join.AGAIN + 1 for x in lists if x["few"])
+    assert "texts" not in seen
+
+
+def test_rows_that_may_hold_ids(spark):
+    from cellroll.llm.tables import holding
+
+    rows = spark.range(3000).selectExpr("id - 1000 as d", "cast(id as string) as text")
+    ids = spark.range(0, 3000, 7).selectExpr("id - 1000 as x")
+    got = holding(rows, "d", ids).collect()
+    assert got[0].asDict().keys() == {"d", "text"} and len(got) < 600
+    assert {r["d"] for r in got} >= set(range(-1000, 2000, 7)) and holding(rows, "d", ids.where("false")).count() == 0
+
+
+def test_counters_keep_their_numbers():
+    import numpy as np
+
+    counts = np.random.default_rng(3).integers(0, 2**33, (1 << jaccard_join.SKETCH_BITS) // jaccard_join.SKETCH_PARTS)
+    assert (jaccard_join.unpacked(jaccard_join.packed(counts)) == np.minimum(counts, 2**31 - 1)).all()
+
+
 def test_jaccard_odd_rows(frame):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (3, text.upper()), (7, None), (8, ""), (9, " \n "), (10, "one"), (11, "ONE"), (12, "x " * 30_000)]
