@@ -16,7 +16,6 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,11 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .arrays import WordIndex, ramp, text_groups
+from .arrays import WordIndex, held, ramp, text_groups
 from .merges import Merges, padded
 from .tables import id_text
 
 WORDS_KEPT = 800_000
+GROUP = 2 << 20  # bytes of text that are cut into words at a time
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -160,9 +160,9 @@ class WordBpe:
         return b" ".join(map(self.names.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
 def _coder(path: str) -> WordBpe:
-    return WordBpe(path)
+    """The vocabulary and the words known by it, for one stage: a worker that goes on to another one has no use for them."""
+    return held(("word_bpe", path), lambda: WordBpe(path))
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -176,7 +176,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", t
 
     def run(batches):
         coder = _coder(vocabulary)
-        for part, texts in text_groups(batches):
+        for part, texts in text_groups(batches, limit=GROUP):
             n, first, second = [], [], []
             for ids in coder.texts(texts):
                 data, text = ids.tobytes(), coder.decode(ids)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import Rolling, Words, ascii_lower, blocks, distinct_by_row, mix, ramp, row_of, shingles
+from .arrays import BLOCK_BYTES, Rolling, Words, ascii_lower, blocks, distinct_by_row, mix, ramp, row_of, shingles
 from .components import components
 from .repeats import batch, changes, table
 from .tables import holding, keyed, saved
@@ -260,7 +260,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
     def check(batches):
         for rb in batches:
-            step = max(1, int(rb.num_rows * (2 << 20) / max(1, rb.nbytes)))
+            step = max(1, int(rb.num_rows * BLOCK_BYTES / max(1, rb.nbytes)))
             for start in range(0, rb.num_rows, step):
                 part = rb.slice(start, step)
                 a, b = (part.column(x).to_numpy() for x in ("a", "b"))

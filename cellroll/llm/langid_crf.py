@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import BLOCK_BYTES, WordIndex, ramp, text_groups
+from .arrays import GROUP_BYTES, WordIndex, ramp, text_groups
 from .subwords import Adam, add_up, grams, plain_words, whole_and_affixes
 from .tables import held_out, id_text
 
@@ -239,7 +239,7 @@ def _scored(model: Model, batches):
     many = max(1, len(model.languages) / LANGUAGES)  # what is held grows with words x languages
     index = WordIndex(int(WORDS_KEPT / many))
     known, letter = np.zeros((0, len(model.languages))), np.zeros(0, bool)
-    for part, texts in text_groups(batches, limit=int(4 * BLOCK_BYTES / many)):
+    for part, texts in text_groups(batches, limit=int(GROUP_BYTES / many)):
         if index.full():
             known, letter = known[:0], letter[:0]
         split = [x.split() for x in texts]

@@ -3,12 +3,13 @@
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from llm_helpers import SMALL, words
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from cellroll.llm import queries
+from cellroll.llm import arrays, bpe_codec, jaccard_join, queries, substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "key", "span_key"]
 STAGES = dict(corpus_pipeline.STAGES)
@@ -105,3 +106,39 @@ def test_numbers_sort_like_ids(spark):
     low = float("-inf")
     by_number = [low if x["doc_id"] is None else x["doc_id"] for x in sorted(rows, key=lambda x: x["d"])]
     assert by_number == sorted(by_number)
+
+
+def test_workers_drop_what_earlier_stages_held(monkeypatch):
+    """A worker that encoded texts goes on to other stages without the vocabulary and the words it knows."""
+    made = []
+    monkeypatch.setattr(bpe_codec, "WordBpe", lambda path: made.append(path) or [path])
+    monkeypatch.setattr(arrays, "_HELD", {})
+    text = pa.array(["some words", None])
+    for stage in (1, 1, 2):
+        monkeypatch.setattr(arrays, "_stage", lambda stage=stage: stage)
+        coder = bpe_codec._coder("p")
+        list(arrays.blocks(text))
+        assert bpe_codec._coder("p") is coder  # kept as long as its own stage reads texts
+    assert made == ["p"]  # and handed on where the next stage takes it first
+    monkeypatch.setattr(arrays, "_stage", lambda: 3)
+    list(arrays.blocks(text))
+    assert not arrays._HELD
+    bpe_codec._coder("p")
+    assert made == ["p", "p"]
+
+
+@pytest.mark.parametrize("rows, most", [(2000, 64e6), (20, 12e6)])
+def test_memory_of_a_worker(vocabulary, monkeypatch, rows, most):
+    """Hashing takes blocks of texts, and tables no longer than these, whatever the batch."""
+    import tracemalloc
+
+    r = random.Random(9)
+    texts = [" ".join(words(r, vocabulary, 600)) for _ in range(rows)]  # some 2,200 bytes each
+    batch = pa.RecordBatch.from_pydict({"d": list(range(rows)), "text": texts})
+    monkeypatch.setattr(arrays, "_POWERS", {})
+    for run in (lambda: jaccard_join._blocks([batch], 5), lambda: substring_dedup.repeats().anchors(False)([batch])):
+        tracemalloc.start()
+        n = sum(1 for _ in run())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n >= 1 and peak < most, peak
