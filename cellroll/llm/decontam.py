@@ -41,6 +41,7 @@ STEPS, WALKS, KEYS, PLACES = 20, 4, 3, 5  # steps of a walk; walks; keys for eac
 STRIDE, SHORT = 2, 15
 CANDIDATES_AT_ONCE = 500_000  # of pieces, before they are verified
 ITEMS_AT_ONCE = 20_000
+BLOCK = 2 << 20  # bytes of text that are embedded at a time; which of several equally good places is given depends on it
 FILTER_BITS = 20
 FOUND = "doc_id long, item_id long, edits int, item_words int, at int"
 _TO_SPACE = np.arange(256, dtype=np.uint8)
@@ -98,7 +99,7 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str | None], similarity: float):
         column = pa.array([x or "" for x in texts], pa.string())
         words, self.ids, size = [], np.array(ids, dtype=np.int64), []
-        for a, b, data, off in blocks(column):
+        for a, b, data, off in blocks(column, BLOCK):
             h, rows = word_hashes(data, off)
             words.append(h)
             size.append(np.diff(rows))
@@ -261,7 +262,7 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
     def run(batches):
         items = sent.value
         for rb in batches:
-            for a, b, data, off in blocks(rb.column("text")):
+            for a, b, data, off in blocks(rb.column("text"), BLOCK):
                 ids = rb.column("doc_id").slice(a, b - a)
                 words, bounds = word_hashes(data, off)
                 if not len(words):
